@@ -10,6 +10,10 @@ records that agree in the values the dependencies mention (their signature), onl
 bundle can be in a best solution, and the signature values come from closed vocabularies, so a group has at most
 ``7 * 7 * 4`` candidates. That reduction is an aggregation with map-side combine, so a group with a third of all rows
 neither gathers in a task nor slows one.
+
+Records that have no duplicate are most of a table. Counting 64-bit hashes of the keys finds the groups that have more
+than one record (a collision only lets a few records through, which the exact grouping then drops), and only records of
+those groups are aggregated. The hashes are broadcast up to a measured number, beyond it they are joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -24,6 +28,10 @@ from pyspark.sql import types as T
 
 from locuslathe.functions.clean import bare_chrom, high, low
 from locuslathe.functions.svtypes import std_type
+from locuslathe.session import cut_lineage
+
+#: Most key hashes (8 bytes each) that are broadcast.
+BROADCAST_HASHES = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -135,6 +143,7 @@ def survivors(
     signature: dict[str, Column],
     record_trust: list[Column],
     recency: Column,
+    broadcast_hashes: int = BROADCAST_HASHES,
 ) -> DataFrame:
     """One row per group of two or more records: the group columns, ``n_records``, then every bundle's columns.
 
@@ -142,17 +151,22 @@ def survivors(
     bundle (the first) comes from the record with the largest ``record_trust`` (lexicographic, no nulls); any other
     bundle's trust is its number of filled fields, then the record's trust, then ``recency``. ``signature`` columns
     must have closed vocabularies. Single records give no row, an empty table none. Exact repetitions of a record count
-    as records and change nothing else. Columns of ``df`` that no argument names are not read.
+    as records and change nothing else. Columns of ``df`` that no argument names are not read. Runs one job to find
+    the groups.
     """
     keys = [f"_g{i}" for i in range(len(group))]
     sig = [f"_s{i}" for i in range(len(signature))]
+    key_hash = F.xxhash64(*group.values()).alias("_h")
+    repeated = cut_lineage(df.select(key_hash).groupBy("_h").count().where("count > 1").select("_h"))
+    hashes = F.broadcast(repeated) if repeated.count() <= broadcast_hashes else repeated
     rows = df.select(
+        key_hash,
         *(c.alias(k) for k, c in zip(keys, group.values(), strict=True)),
         *(c.alias(s) for s, c in zip(sig, signature.values(), strict=True)),
         F.struct(*(c.alias(f"r{i}") for i, c in enumerate(record_trust))).alias("_trust"),
         recency.alias("_recent"),
         *(F.struct(*b.columns).alias(f"_b{i}") for i, b in enumerate(bundles)),
-    )
+    ).join(hashes, "_h", "left_semi")
 
     def version(i: int, b: Bundle) -> Column:
         filled = sum((F.col(f"_b{i}.{c}").isNotNull().cast("int") for c in b.columns), F.lit(0))

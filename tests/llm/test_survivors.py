@@ -71,6 +71,15 @@ def test_representative_and_bundles(spark):
     assert call_survivors(empty).collect() == []
 
 
+def test_hashes_by_shuffle(spark, monkeypatch):
+    from locuslathe.llm import survivors
+
+    rows = [row(1, reads=5), row(2, reads=6), row(3, run="q"), row(4, run=None), row(5, run=None, reads=1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(survivors.survivors, "__defaults__", (-1,))
+    assert sorted(r.record_id for r in call_survivors(df).collect()) == [2, 5]
+
+
 def test_hot_group(spark):
     rng = random.Random(2)
     rows = [row(i, reads=rng.choice([None, 1, 2]), score=rng.choice([None, 1.0, 2.0]), svlen=rng.choice([None, -3, 3])) for i in range(3000)]
