@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from locuslathe.llm.components import cluster_links, link_groups
+from locuslathe.llm.leaks import leaked_items, shared_runs
 from locuslathe.llm.survivors import call_survivors
+from locuslathe.llm.tokens import encode_corpus
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -27,10 +29,34 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return link_groups(cluster_links(_table(spark, sf, "event_clusters")))
 
 
+def p6_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """The token ids of every document."""
+    return encode_corpus(_table(spark, sf, "documents"))
+
+
+def p6_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """The token ids of every document with each token's first byte."""
+    return encode_corpus(_table(spark, sf, "documents"), offsets=True)
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents and the test items that they share a whole run with."""
+    return shared_runs(_table(spark, sf, "documents"), _table(spark, sf, "eval_items"))
+
+
+def p7_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Leaks with their tiles, rearranged passages included."""
+    return leaked_items(_table(spark, sf, "documents"), _table(spark, sf, "eval_items"))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_survivors": p2_survivors,
     "p4_found": p4_found,
+    "p6_ids": p6_ids,
+    "p6_offsets": p6_offsets,
+    "p7_found": p7_found,
+    "p7_leaks": p7_leaks,
 }
 
 SQL = {
