@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from locuslathe.llm.components import cluster_links, link_groups
 from locuslathe.llm.leaks import leaked_items, shared_runs
+from locuslathe.llm.sentences import split_sentences
 from locuslathe.llm.survivors import call_survivors
 from locuslathe.llm.tokens import encode_corpus
 
@@ -49,6 +50,11 @@ def p7_leaks(spark: SparkSession, sf: str) -> DataFrame:
     return leaked_items(_table(spark, sf, "documents"), _table(spark, sf, "eval_items"))
 
 
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Every sentence of every document by its place."""
+    return split_sentences(_table(spark, sf, "documents"))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_survivors": p2_survivors,
@@ -57,6 +63,7 @@ QUERIES = {
     "p6_offsets": p6_offsets,
     "p7_found": p7_found,
     "p7_leaks": p7_leaks,
+    "p8_found": p8_found,
 }
 
 SQL = {
