@@ -24,9 +24,10 @@ def start_event_stream(
         good = good_calls(clean_calls(batch, F.col("source"), keep=("record_id", "run_id", "load_seq")))
         good = good.withColumn("batch", F.lit(number))
         good.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "run_id").parquet(store)
-        touched = spark.read.parquet(store).where(F.col("batch") == number).select("run_id").distinct()
-        kept = spark.read.parquet(store).join(touched, "run_id", "left_semi")
-        kept = kept.withColumn("run_id", F.col("run_id").cast("string"))
+        # by its schema, as a run's name may look like a number
+        held = spark.read.schema(good.schema).parquet(store)
+        touched = held.where(F.col("batch") == number).select("run_id").distinct()
+        kept = held.join(touched, "run_id", "left_semi")
         events = merge_events(kept, ("run_id",), tol, F.col("load_seq"))
         events.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(out)
 
