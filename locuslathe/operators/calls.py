@@ -26,7 +26,19 @@ def clean_calls(df: DataFrame, source: Column, keep: tuple[str, ...] = (), strip
     ``svlen_normalized_to_end_minus_start``. Fields that a source doesn't have are null whatever the row holds.
     """
     has = {c.lower(): c for c in df.columns}
+    kinds = dict(df.dtypes)
     raw = {c: (F.col(f"`{has[c.lower()]}`") if c.lower() in has else F.lit(None)).cast("string") for c in _TEXTS}
+
+    def whole(name: str) -> Column:
+        """Columns that are integers already are spared the way through text."""
+        typed = kinds.get(has.get(name.lower(), ""), "") in ("tinyint", "smallint", "int", "bigint")
+        return F.col(f"`{has[name.lower()]}`").cast("long") if typed else to_int(raw[name])
+
+    def decimal(name: str) -> Column:
+        typed = kinds.get(has.get(name.lower(), ""), "") in ("float", "double")
+        d = F.col(f"`{has[name.lower()]}`").cast("double") if typed else to_float(raw[name])
+        return F.when(F.abs(d) < F.lit(float("inf")), d) if typed else d
+
     chrom = raw["chrom"]
     if "#chrom" in has:
         chrom = F.when(is_missing(chrom), F.col("`#chrom`").cast("string")).otherwise(chrom)
@@ -36,19 +48,19 @@ def clean_calls(df: DataFrame, source: Column, keep: tuple[str, ...] = (), strip
         F.when(~is_missing(chrom), F.trim(chrom)).alias("chrom"),
         F.when(~is_missing(raw["svtype"]), F.trim(raw["svtype"])).alias("raw_svtype"),
         F.when(~is_missing(raw["info_svtype"]), raw["info_svtype"]).alias("info_svtype"),
-        to_int(raw["start"]).alias("_s"),
-        to_int(raw["end"]).alias("_e"),
-        F.abs(to_int(raw["svlen"])).alias("_len"),
-        to_int(raw["supporting_reads"]).alias("supporting_reads"),
-        to_float(raw["score"]).alias("score"),
+        whole("start").alias("_s"),
+        whole("end").alias("_e"),
+        F.abs(whole("svlen")).alias("_len"),
+        whole("supporting_reads").alias("supporting_reads"),
+        decimal("score").alias("score"),
         F.when(source.startswith("long") & ~is_missing(raw["supporting_methods"]), raw["supporting_methods"]).alias("supporting_methods"),
-        F.when(source == "short", to_int(raw["RDCN"])).alias("copy_number"),
+        F.when(source == "short", whole("RDCN")).alias("copy_number"),
         F.when((source == "short") & ~is_missing(raw["chr2"]), raw["chr2"]).alias("chr2"),
-        F.when(source == "short", to_int(raw["pos2"])).alias("pos2"),
-        F.when(source == "asm", to_int(raw["start_mod"])).alias("start_mod"),
-        F.when(source == "asm", to_int(raw["end_mod"])).alias("end_mod"),
-        to_float(raw["coverage_before_100bp"]).alias("coverage_before_100bp"),
-        to_float(raw["coverage_after_100bp"]).alias("coverage_after_100bp"),
+        F.when(source == "short", whole("pos2")).alias("pos2"),
+        F.when(source == "asm", whole("start_mod")).alias("start_mod"),
+        F.when(source == "asm", whole("end_mod")).alias("end_mod"),
+        decimal("coverage_before_100bp").alias("coverage_before_100bp"),
+        decimal("coverage_after_100bp").alias("coverage_after_100bp"),
     )
     d = d.withColumn(
         "reject_reason",

@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 BLOCK = 1024
 #: Most keys of a dictionary that is sent to the workers; its arrays take 64 bytes a key and worker.
 MAX_DICTIONARY = 250_000
+#: Ways in which the splits' blocks are summed first; each way then gives one row per block.
+FAN = 256
 
 _I64 = np.iinfo(np.int64)
 #: name, value of an empty cell
@@ -113,9 +115,9 @@ def _local_codes(batch: pa.RecordBatch, n_keys: int) -> tuple[list[tuple], np.nd
     return keys, inverse.reshape(-1)
 
 
-def _pack(acc: dict[str, np.ndarray], fan: int) -> Iterator[pa.RecordBatch]:
+def _pack(acc: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
     """The non-empty blocks of the arrays, as rows of binary cells."""
-    salt = TaskContext.get().partitionId() % fan
+    salt = TaskContext.get().partitionId() % FAN
     size = len(acc["n"])
     blocks = [b for b in range(0, size, BLOCK) if acc["n"][b : b + BLOCK].any()]
     for at in range(0, len(blocks), 64):
@@ -191,7 +193,6 @@ def aggregate_dense(
     dictionary = sorted((tuple(r) for r in found), key=lambda k: tuple((v is not None, v or "") for v in k))
     shared = spark.sparkContext.broadcast({k: i for i, k in enumerate(dictionary)})
     size = len(dictionary)
-    fan = max(1, round(rows.rdd.getNumPartitions() ** 0.5)) if size else 1
 
     def accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes_of, acc = shared.value, _empty(size)
@@ -199,7 +200,7 @@ def aggregate_dense(
             if batch.num_rows:
                 own, inverse = _local_codes(batch, n_keys)
                 _scatter(acc, np.array([codes_of[k] for k in own], dtype=np.int64)[inverse], batch)
-        yield from _pack(acc, fan)
+        yield from _pack(acc)
 
     def reduce_salted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, acc in _sum_blocks(batches).items():

@@ -92,10 +92,12 @@ def _join_small(d: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
 def clusters(calls: DataFrame, by: tuple[str, ...] = (), tol: int = 10, seq: Column | None = None) -> DataFrame:
     """One row per chain: group, chrom, std_type, cluster_start, cluster_end, n_members, steps, the best per source.
 
-    ``steps`` holds (start1, end1, percent, copies) of the distinct intervals in chain order.
+    ``steps`` holds (start1, end1, percent, copies) of the distinct intervals in chain order. Runs a job to materialise
+    the distinct intervals.
     """
     q = F.col("seq") if seq is None else seq
-    d = chain_heads(distinct_intervals(calls, by, q), by, tol)
+    # the chain reads the intervals three times, so they are computed once
+    d = chain_heads(cut_lineage(distinct_intervals(calls, by, q)), by, tol)
     return (
         d.groupBy(*by, "chrom", "std_type", "head_start", "head_end")
         .agg(
@@ -193,7 +195,7 @@ def _source_columns(s: str, r: Column) -> list[Column]:
 
 def event_table(clustered: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """The event rows in the order of the result tables' columns, after ``by``; see ``merge_events``."""
-    d = number_events(clustered, by)
+    d = number_events(cut_lineage(clustered), by)
     rec = {s: F.col(f"{s}.rec") for s in SOURCES}
     a = anchor(rec)
     d = d.withColumn("_a", a)

@@ -52,3 +52,13 @@ def free_name(df: DataFrame, stem: str) -> str:
     while stem.lower() in taken:
         stem = "_" + stem
     return stem
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """``df``, a plain scan, in at least as many partitions as there are cores.
+
+    For costly work per row over a few small files. A scan that already has enough splits, as any large one, is left as
+    it is, so nothing is shuffled then.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
