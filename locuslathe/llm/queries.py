@@ -9,12 +9,17 @@ from locuslathe.llm.leaks import leaked_items, shared_runs
 from locuslathe.llm.sentences import split_sentences
 from locuslathe.llm.survivors import call_survivors
 from locuslathe.llm.tokens import encode_corpus
+from locuslathe.session import spread_scan
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, sf: str) -> DataFrame:
+    return spread_scan(_table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def p2_survivors(spark: SparkSession, sf: str) -> DataFrame:
     """The surviving record of each group of repeated calls, with every bundle chosen."""
     return call_survivors(_table(spark, sf, "sv_records"))
@@ -32,27 +37,27 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p6_ids(spark: SparkSession, sf: str) -> DataFrame:
     """The token ids of every document."""
-    return encode_corpus(_table(spark, sf, "documents"))
+    return encode_corpus(_texts(spark, sf))
 
 
 def p6_offsets(spark: SparkSession, sf: str) -> DataFrame:
     """The token ids of every document with each token's first byte."""
-    return encode_corpus(_table(spark, sf, "documents"), offsets=True)
+    return encode_corpus(_texts(spark, sf), offsets=True)
 
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     """The documents and the test items that they share a whole run with."""
-    return shared_runs(_table(spark, sf, "documents"), _table(spark, sf, "eval_items"))
+    return shared_runs(_texts(spark, sf), _table(spark, sf, "eval_items"))
 
 
 def p7_leaks(spark: SparkSession, sf: str) -> DataFrame:
     """Leaks with their tiles, rearranged passages included."""
-    return leaked_items(_table(spark, sf, "documents"), _table(spark, sf, "eval_items"))
+    return leaked_items(_texts(spark, sf), _table(spark, sf, "eval_items"))
 
 
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     """Every sentence of every document by its place."""
-    return split_sentences(_table(spark, sf, "documents"))
+    return split_sentences(_texts(spark, sf))
 
 
 QUERIES = {
