@@ -63,18 +63,13 @@ def base_name(name: Column) -> Column:
 def read_pair(base: Column) -> Column:
     """struct(base_name, read_number, detected): by the first pattern that fits; else the name itself and mate 1."""
     def first_fit(b: Column) -> Column:
-        tried = F.array(
-            *(
-                F.struct(
-                    F.regexp_extract(b, "^" + p, 1).alias("base_name"),
-                    F.right(F.regexp_extract(b, "^" + p, 2), F.lit(1)).try_cast("int").alias("read_number"),
-                    F.lit(True).alias("detected"),
-                )
-                for p in PAIR_PATTERNS
-            )
-        )
         none = F.struct(b.alias("base_name"), F.lit(1).alias("read_number"), F.lit(False).alias("detected"))
-        return F.coalesce(F.get(F.filter(tried, lambda x: x["base_name"] != ""), F.lit(0)), none)
+        c = F.when(~b.rlike("[12]"), none)
+        for p in PAIR_PATTERNS:
+            mate = F.when(F.endswith(F.regexp_extract(b, "^" + p, 2), F.lit("1")), 1).otherwise(2)
+            base_part = F.regexp_extract(b, "^" + p, 1)
+            c = c.when(b.rlike("^" + p), F.struct(base_part.alias("base_name"), mate.alias("read_number"), F.lit(True).alias("detected")))
+        return c.otherwise(none)
 
     # bound to a variable, so that the name is worked out once and not for every pattern
     return F.get(F.transform(F.array(base), first_fit), F.lit(0))
