@@ -44,9 +44,8 @@ def distinct_intervals(calls: DataFrame, by: tuple[str, ...], seq: Column) -> Da
     """One row per distinct interval of a group: copies and, per source, the best record with its rank."""
     keys = [*by, "chrom", "std_type", "start1", "end1"]
     best = F.struct(best_rank(seq).alias("rank"), F.struct(*_PAYLOAD).alias("rec"))
-    per_source = calls.groupBy(*keys, "source").agg(F.count(F.lit(1)).alias("n"), F.max(best).alias("best"))
-    return per_source.groupBy(*keys).agg(
-        F.sum("n").alias("n"), *(F.max(F.when(F.col("source") == s, F.col("best"))).alias(s) for s in SOURCES)
+    return calls.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), *(F.max(F.when(F.col("source") == s, best)).alias(s) for s in SOURCES)
     )
 
 

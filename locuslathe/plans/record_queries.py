@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from locuslathe.functions import bases, names
 from locuslathe.functions.intervals import linked_relation, overlap_percent
+from locuslathe.operators import alignments as A
 from locuslathe.operators import features as FT
 from locuslathe.operators import genomes as G
 from locuslathe.operators import reads as R
@@ -265,6 +266,25 @@ def interval_labels(spark: SparkSession, sf: str) -> DataFrame:
     return r.select("record_id", linked_relation(*a, 100).alias("relation"), F.round(overlap_percent(*a), 4).alias("percent"))
 
 
+def alignment_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    d = _table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.lit(100.0) - F.col("l_discount") * 200).alias("identity"), (F.col("l_quantity") * 5).cast("long").alias("length"))
+    return A.filter_alignments(d).select("l_orderkey", "l_linenumber", "length")
+
+
+def alignment_counts(spark: SparkSession, sf: str) -> DataFrame:
+    d = _table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("chrom"), (F.col("l_partkey") % 4096).cast("int").alias("flag"))
+    return A.alignment_stats(d, ("chrom",))
+
+
+def alignment_sorted(spark: SparkSession, sf: str) -> DataFrame:
+    d = _table(spark, sf, "sv_records").select("record_id", F.trim("chrom").alias("chrom"), F.col("start_pos").alias("pos"))
+    return A.sort_by_coordinate(d)
+
+
+def read_length_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    return A.length_histogram(_seqs(spark, sf), BY)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -273,7 +293,7 @@ QUERIES = {
         file_names, read_pairs, read_pair_summary, read_samples, read_multisets, read_intersect_all, read_except_all,
         unmapped_share, unmapped_lines, fastq_counts, feature_issues, feature_summary, feature_sorted,
         genome_differences, genome_check, trace_counts, trace_failed, timing_totals, report_counts, run_flags,
-        files_per_platform, interval_labels,
+        files_per_platform, interval_labels, alignment_filtered, alignment_counts, alignment_sorted, read_length_histogram,
     )
 }
 
@@ -414,6 +434,16 @@ SQL = {
           UNION ALL SELECT 'pacbio', contig_file_size FROM sv_runs WHERE run_pacbio) GROUP BY 1""",
     "files_per_platform": """
         SELECT file_kind AS ngs_type, 'tsv' AS input_format, string_agg(DISTINCT file_label, ',' ORDER BY file_label) AS files FROM sv_raw_lines GROUP BY 1""",
+    "alignment_filtered": """
+        SELECT l_orderkey, l_linenumber, CAST(l_quantity * 5 AS BIGINT) AS length FROM lineitem
+        WHERE 100.0 - l_discount * 200 >= 90 AND CAST(l_quantity * 5 AS BIGINT) >= 100""",
+    "alignment_counts": """
+        WITH a AS (SELECT l_returnflag AS chrom, CAST(l_partkey % 4096 AS INTEGER) AS f FROM lineitem)
+        SELECT chrom, count(*) AS records, count(*) FILTER ((f & 2304) = 0) AS "primary", count(*) FILTER ((f & 256) <> 0) AS secondary,
+               count(*) FILTER ((f & 2048) <> 0) AS supplementary, count(*) FILTER ((f & 1024) <> 0) AS duplicates,
+               count(*) FILTER ((f & 4) = 0) AS mapped, count(*) FILTER ((f & 16) <> 0) AS reverse FROM a GROUP BY 1""",
+    "alignment_sorted": "SELECT record_id, trim(chrom) AS chrom, start_pos AS pos FROM sv_records",
+    "read_length_histogram": f"WITH {_SEQS} SELECT source, length - length % 100 AS bin_start, count(*) AS n FROM sq GROUP BY 1, 2",
     "interval_labels": """
         WITH a AS (SELECT record_id, least(start_pos, end_pos) AS s1, greatest(start_pos, end_pos) AS e1, least(start_mod, end_mod) AS s2,
                           greatest(start_mod, end_mod) AS e2 FROM sv_records

@@ -138,3 +138,16 @@ def load_config(path: str | Path, defaults: Options | None = None) -> RunConfig:
         for f in sorted(p for p in folder.iterdir() if p.is_file()):
             reads.append(_file(path.parent, own | {"filename": str(f.relative_to(path.parent.resolve()))}, "reads", options, ngs_type=platform))
     return RunConfig(path.parent, options, files, tuple(reads))
+
+
+def load_params(path: str | Path) -> dict[str, Any]:
+    """The run parameters that ``validation.run_parameters`` gave, read again from their JSON file."""
+    return json.loads(Path(path).read_text(encoding="utf-8"))
+
+
+def branches(params: dict[str, Any]) -> tuple[str, ...]:
+    """The parts of a run that its parameters switch on; the merge of call tables always runs."""
+    on = [p for p in ("illumina", "nanopore", "pacbio") if params.get(f"run_{p}")]
+    if params.get("run_ref_x_mod") and int(params.get("contig_file_size") or 0) >= 1:
+        on.insert(0, "assembly")
+    return (*on, "merge")

@@ -238,3 +238,30 @@ def test_stream(spark, tmp_path):
     one = add("a.json", [(1, "r", 1, "asm", "c", "100", "200", "DEL"), (2, "q", 1, "asm", "c", "1", "5", "DEL"), (3, "q", 2, "asm", None, "1", "5", "DEL")])
     assert one == [("q", 1, 5, 1), ("r", 100, 200, 1)]
     assert add("b.json", [(4, "r", 2, "short", "c", "100", "190", "DEL")]) == [("q", 1, 5, 1), ("r", 100, 190, 2)]
+
+
+def test_command_line(spark, tmp_path):
+    from locuslathe import cli
+
+    (tmp_path / "asm.tsv").write_text("chrom\tstart\tend\tsvtype\tinfo_svtype\tstart_mod\tend_mod\nc\t100\t200\tDEL\tx\t1\t2\n.\tq\t1\tDEL\tx\t1\t2\n")
+    (tmp_path / "ont.tsv").write_text("chrom\tstart\tend\tsvtype\tinfo_svtype\tsvlen\tsupporting_reads\tscore\tsupporting_methods\nc\t190\t100\tDEL\tx.DEL\t-90\t.\t.\t3\nc\t150\t150\tINS\tx.INS\t7\t.\t5\t1\n")
+    (tmp_path / "s_supporting_reads.tsv").write_text("chrom\tstart\tend\tsvtype\tsupporting_reads\nc\t103\t190\tDEL\t4\nc\t103\t190\tDEL\t2\n")
+    paths = {"asm": str(tmp_path / "asm.tsv"), "long_ont": str(tmp_path / "ont.tsv")}
+    cli.merge_tables(spark, paths, str(tmp_path / "out"), str(tmp_path / "*_supporting_reads.tsv"))
+    rows = (tmp_path / "out" / "Deletions.csv").read_text().splitlines()
+    r = dict(zip(rows[0].split(","), __import__("csv").reader(rows[1:]).__next__()))
+    assert (r["event_id"], r["event_start"], r["event_end"], r["event_length_bp"], r["support_score"]) == ("DEL_1", "100", "190", "90", "2")
+    assert (r["long_ont_supporting_reads"], r["long_ont_score"], r["percentage_overlap"]) == ("6", "0.0", "90.10%")
+    assert r["linked_event"] == "INS_1 (INS, c:150-150, contains)" and "asm_start_mod" not in r
+    audit = [json.loads(x) for x in text(tmp_path / "out" / "audit").splitlines()]
+    assert sorted(a.get("reject_reason") or a["modifications"][0] for a in audit) == ["coordinates_swapped", "invalid_coordinates", "svlen_derived"]
+    with pytest.raises(ValueError):
+        cli.load_sources(spark, {})
+
+
+def test_params(tmp_path):
+    from locuslathe.sources.config import branches, load_params
+
+    (tmp_path / "p.json").write_text(K.params_json(V.run_parameters({"ref": "r", "mod": "m", "contigs": ["c"]}, [], True)))
+    assert branches(load_params(tmp_path / "p.json")) == ("assembly", "merge")
+    assert branches({"run_pacbio": True, "run_ref_x_mod": True}) == ("pacbio", "merge")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from locuslathe.functions import bases, names
+from locuslathe.operators import alignments as A
 from locuslathe.operators import features as FT
 from locuslathe.operators import genomes as G
 from locuslathe.operators import reads as R
@@ -166,3 +167,18 @@ def test_runs(spark):
     assert RN.trace_summary(t.where("false")).head().total == 0
     f = spark.createDataFrame([("g", True, True), ("g", None, False)], "validator_type string, passed boolean, is_plasmid boolean")
     assert tuple(RN.report_summary(f).head()) == ("g", 2, 1, 1, 1)
+
+
+def test_alignments(spark):
+    d = spark.createDataFrame([("b", 5, 0), (None, None, 4), ("a", 9, 16), ("a", 2, 2048 + 256), ("a", 2, None)], "chrom string, pos long, flag int")
+    assert [(r.chrom, r.pos) for r in A.sort_by_coordinate(d).collect()] == [("a", 2), ("a", 2), ("a", 9), ("b", 5), (None, None)]
+    assert tuple(A.alignment_stats(d).head()) == (5, 4, 1, 1, 0, 4, 1)
+    f = spark.createDataFrame([(95.0, 100), (95.0, 99), (89.9, 500), (None, 500)], "identity double, length long")
+    assert A.filter_alignments(f).count() == 1
+    p = spark.createDataFrame([(10, 20, 30, 3), (9, 20, 30, 3)], "coverage int, base_quality int, mapping_quality int, alternate_count int")
+    assert A.callable_sites(p).count() == 1 and A.callable_sites(p, min_coverage=9).count() == 2
+    q = spark.createDataFrame([("AC", "I!"), (None, None)], "seq string, qual string")
+    assert {(r.quality, r.n) for r in A.quality_histogram(q).collect()} == {(40, 1), (0, 1)}
+    assert [tuple(r) for r in A.length_histogram(q).collect()] == [(0, 1)]
+    s = spark.createDataFrame([("s", 1)], "sample string, n int")
+    assert A.pair_by_sample(s, s).columns == ["sample", "n", "n_mod"]
