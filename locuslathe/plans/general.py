@@ -32,12 +32,13 @@ def p1_key_stats(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def p1_found(spark: SparkSession, sf: str, share: float = 0.03) -> DataFrame:
-    """The pairs that hold at least ``share`` of all records."""
+def p1_found(spark: SparkSession, sf: str, percent: int = 3) -> DataFrame:
+    """The pairs that hold at least ``percent`` of all records; records without chromosome count among all."""
     d = p1_key_stats(spark, sf)
     # the window runs over one row per key, which aggregate_dense has already reduced
     total = F.sum("n_calls").over(Window.partitionBy())
-    return d.withColumn("total", total).where((F.col("n_calls") >= share * F.col("total")) & F.col("chrom").isNotNull()).select("chrom", "std_type")
+    d = d.withColumn("total", total).where(F.col("n_calls") * 100 >= F.col("total") * percent)
+    return d.where("chrom is not null").select("chrom", "std_type")
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,7 +71,7 @@ SQL = {
         SELECT chrom, std_type FROM (
           SELECT nullif(trim(chrom), '') AS chrom, std_type, count(*) AS n, sum(count(*)) OVER () AS total
           FROM sv_records GROUP BY ALL)
-        WHERE chrom IS NOT NULL AND n >= 0.03 * total""",
+        WHERE chrom IS NOT NULL AND n * 100 >= 3 * total""",
     "p1_key_stats": """
         SELECT nullif(trim(chrom), '') AS chrom, std_type, count(*) AS n_calls,
                CAST(sum(abs(end_pos - start_pos) + 1) AS BIGINT) AS bases,
