@@ -60,7 +60,7 @@ def _peel(edges: DataFrame, rounds: int) -> tuple[DataFrame, bool]:
     arcs = _both_ways(edges)
     first = arcs.where(F.col("a") == top).select(F.col("b").alias("v")).distinct()
     seen = cut_lineage(first.union(edges.sparkSession.range(1).select(F.lit(top).alias("v"))).distinct())
-    frontier = seen
+    frontier = seen.where(F.col("v") != top)  # the hub's own links are used up
     for _ in range(rounds - 1):
         step = arcs.join(frontier.select(F.col("v").alias("a")), "a", "left_semi").select(F.col("b").alias("v"))
         frontier = cut_lineage(step.distinct().join(seen, "v", "left_anti"))

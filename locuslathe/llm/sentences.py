@@ -87,7 +87,9 @@ STRUCTURE = (
         r"[.!?…]" + _TAIL,
         r"(?!\p{Lu}\p{Ll}|[\"(]?\p{Lu}\p{Ll})[^\s\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}“«„‘「『（¿¡]",
     ),
-    _never(r"(?<![\p{L}\p{N}])(?:\p{L}\.|\p{N}+\.)+$", r"\p{L}"),
+    _always(r"(?<!\p{L})(?:[ap]\.m|U\.K|U\.S)\.$", r"\p{Lu}\p{Ll}*\s"),
+    _never(r"(?<![\p{L}\p{N}])(?:\p{L}\.)+$", r"\p{L}"),
+    _never(r"\p{N}\.$", r"(?!\p{Lu}\p{Ll}*\s)\p{L}"),
     # a list number belongs to its sentence
     _never(r"^\s*(?:\(?\d{1,3}|\p{Lu})[.)]$", r"\s"),
 )

@@ -30,6 +30,7 @@ CASES = [
     "ตารางของตัวอย่างนี้มี 403 แถว| ระบบหยุดทำงานในขั้นตอนที่สอง| ความลึกลดลงเหลือ 20.3 เท่าแล้วเพิ่มขึ้น",
     "A heading\n|1. Stop!\n|\n|[20:56:28] asm: unmapped 17 (2.84%). Done. Next.\n|chr1\t5\t9\tDEL\t40.9\r\n|!!!???###\n|x'=x; y''=y; I'M\n|>contig_9 length=2. A\n|>done",
     "It was lost.Nobody knew.| We used a.b.fa and kept z.B. this.",
+    "It began at 8:51 a.m.|At 5 bp the median was 62.82.|After cleaning, e.g.chr1 of v3.1.a was kept.",
 ]
 
 
