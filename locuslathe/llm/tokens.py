@@ -19,6 +19,7 @@ import heapq
 import json
 import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -232,28 +233,32 @@ class ByteBPE:
                     break
                 ids[at : at + 2] = [best[1]]
             return ids
-        right, left = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = []
-        for i in range(n - 1):
-            p = pairs.get((ids[i], ids[i + 1]))
-            if p is not None:
-                heap.append((p[0], i, ids[i], ids[i + 1], p[1]))
+        # flat arrays, and heap entries of one integer (rank, then place), keep very long slices within memory
+        row = array("i", ids)
+        right, left = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+        heap = [(p[0] << 40) | i for i in range(n - 1) if (p := pairs.get((row[i], row[i + 1]))) is not None]
         heapq.heapify(heap)
+        push, pop, places = heapq.heappush, heapq.heappop, (1 << 40) - 1
         while heap:
-            _, i, a, b, made = heapq.heappop(heap)
+            entry = pop(heap)
+            i = entry & places
             j = right[i]
-            if ids[i] != a or j >= n or ids[j] != b:
-                continue  # one of the two has been merged away since
-            ids[i], ids[j] = made, -1
+            if row[i] < 0 or j >= n:
+                continue
+            p = pairs.get((row[i], row[j]))
+            if p is None or p[0] != entry >> 40:
+                continue  # one of the two has been merged since
+            made = p[1]
+            row[i], row[j] = made, -1
             k = right[i] = right[j]
             if k < n:
                 left[k] = i
-                if (p := pairs.get((made, ids[k]))) is not None:
-                    heapq.heappush(heap, (p[0], i, made, ids[k], p[1]))
+                if (p := pairs.get((made, row[k]))) is not None:
+                    push(heap, (p[0] << 40) | i)
             h = left[i]
-            if h >= 0 and (p := pairs.get((ids[h], made))) is not None:
-                heapq.heappush(heap, (p[0], h, ids[h], made, p[1]))
-        return [x for x in ids if x >= 0]
+            if h >= 0 and (p := pairs.get((row[h], made))) is not None:
+                push(heap, (p[0] << 40) | h)
+        return [x for x in row if x >= 0]
 
     def encode(self, piece: str) -> tuple[int, ...]:
         """The ids of one slice, from the cache if it is short and was seen before."""

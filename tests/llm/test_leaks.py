@@ -90,3 +90,11 @@ def test_whole_tables(spark):
         grams = {k: {s[i : i + k] for i in range(len(s) - k + 1)} for k in (20, 50)}
         want |= {(r.doc_id, i) for i, g, k in own if not g.isdisjoint(grams[k])}
     assert got == want and len(want) > 20
+
+
+def test_long_and_repetitive_texts(spark):
+    same = "ab" * 300
+    docs = [(1, "ab" * 200_000, "q", 1, "z"), (2, "x" * 300_000 + same, "q", 1, "z"), (3, "x" * 300_000, "q", 1, "z")]
+    d = spark.createDataFrame(docs, DOCS)
+    e = spark.createDataFrame([(1, "en", same, "", ""), (2, "en", "x" * 49, "", "")], ITEMS)
+    assert sorted(map(tuple, shared_runs(d, e).collect())) == [(1, 1), (2, 1)]

@@ -61,3 +61,9 @@ def test_round_trip_of_whole_table(spark, public):
 def test_small_chunks(public, monkeypatch):
     monkeypatch.setattr(tokens, "CHUNK", 10)
     assert list(tokens._chunks(["a" * 30, "", "b", "c" * 9, "d"])) == [["a" * 30], ["", "b", "c" * 9], ["d"]]
+
+
+def test_a_text_of_a_million_letters(public):
+    rng = random.Random(4)
+    text = "".join(rng.choice("ACGTN") for _ in range(1_000_000))
+    assert ByteBPE(VOCABULARY).encode_texts([text]) == [public.encode(text, add_special_tokens=False).ids]
