@@ -5,8 +5,8 @@ Nothing here gathers the calls of a chromosome and type in one task, although a
 * Calls with equal coordinates always chain, so the calls are first reduced to distinct intervals (with map-side
   combine), each with its best record per source and its number of copies.
 * The walk looks back by one interval only. It runs per tile of ``2**TILE_BITS`` bases, and a tile's first interval
-  gets its predecessor from the tile before through a table with one row per tile. A chain that runs on through tiles
-  finds its head in the same way.
+  gets its predecessor as a row in front of it, made from a table with one row per tile. A chain that runs on through
+  tiles finds its head in the same way.
 * Event numbers are ranks inside a tile plus the number of events in the tiles before.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from locuslathe.functions.intervals import format_link, linked_relation, near_overlap, overlap_length, overlap_percent
 from locuslathe.operators.interval_join import overlap_join
-from locuslathe.session import cut_lineage
+from locuslathe.session import write_through
 
 TILE_BITS = 20
 SOURCES = ("asm", "long_ont", "long_pacbio", "short")
@@ -61,23 +61,31 @@ def chain_heads(intervals: DataFrame, by: tuple[str, ...], tol: int, tile_bits:
     tile = Window.partitionBy(*g, "_tile").orderBy("start1", "end1")
     across = Window.partitionBy(*g).orderBy("_tile")
 
-    ends = d.groupBy(*g, "_tile").agg(F.max(here).alias("_last"))
-    before = ends.select(*g, "_tile", F.lag("_last").over(across).alias("_prev_tile"))
-    d = _join_small(d, before, [*g, "_tile"])
-    d = d.withColumn("_prev", F.coalesce(F.lag(here).over(tile), "_prev_tile"))
-    p = (F.col("_prev.s"), F.col("_prev.e"), F.col("start1"), F.col("end1"))
-    joined = F.coalesce(near_overlap(*p, tol), F.lit(False))
-    d = d.withColumns(
-        {"_head": F.when(~joined, here), "step_percent": F.when(joined, overlap_percent(*p))}
-    )
+    def seeded(rows: DataFrame, seeds: DataFrame, head: Column) -> DataFrame:
+        """The rows behind their tile's seed, each with its predecessor's verdict in ``_joined`` and its own ``_head``."""
+        both = rows.withColumn("_seed", F.lit(False)).unionByName(seeds.withColumn("_seed", F.lit(True)), allowMissingColumns=True)
+        prev = F.lag(here).over(tile)
+        p = (F.col("_prev.s"), F.col("_prev.e"), F.col("start1"), F.col("end1"))
+        both = both.withColumn("_prev", prev).withColumn("_joined", F.coalesce(near_overlap(*p, tol), F.lit(False)))
+        own = F.when(F.col("_seed"), head).when(~F.col("_joined"), here)
+        return both.withColumns({"_head": own, "step_percent": F.when(F.col("_joined"), overlap_percent(*p))})
+
+    # a tile's seed is the interval before its first one; it sorts to the front, as it starts in an earlier tile
+    narrow = d.select(*g, "_tile", "start1", "end1")
+    last = narrow.groupBy(*g, "_tile").agg(F.max(here).alias("_last")).withColumn("_p", F.lag("_last").over(across))
+    seeds = last.where("_p is not null").select(*g, "_tile", F.col("_p.s").alias("start1"), F.col("_p.e").alias("end1"))
+    none = F.lit(None).cast("struct<s:bigint,e:bigint>")
+    tiles = seeded(narrow, seeds, none).groupBy(*g, "_tile").agg(F.max("_head").alias("_h"), F.max(F.when(F.col("_seed"), here)).alias("_p"))
+    # and its head is the last one of the tiles before
+    carried = F.last("_h", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1))
+    seeds = tiles.withColumn("_carried", carried).where("_p is not null").select(
+        *g, "_tile", F.col("_p.s").alias("start1"), F.col("_p.e").alias("end1"), "_carried"
+    )
+    d = seeded(d, seeds, F.col("_carried"))
     own = F.last("_head", ignorenulls=True).over(tile.rowsBetween(Window.unboundedPreceding, 0))
-    d = d.withColumn("_own", own)
-    heads = d.groupBy(*g, "_tile").agg(F.max("_head").alias("_h"))
-    earlier = F.last("_h", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1))
-    d = _join_small(d, heads.select(*g, "_tile", earlier.alias("_before")), [*g, "_tile"])
-    d = d.withColumn("_own", F.coalesce("_own", "_before"))
+    d = d.withColumn("_own", own).where("not _seed")
     return d.withColumns({"head_start": F.col("_own.s"), "head_end": F.col("_own.e")}).drop(
-        "_tile", "_prev_tile", "_prev", "_head", "_own", "_before"
+        "_tile", "_seed", "_carried", "_prev", "_joined", "_head", "_own"
     )
 
 
@@ -96,7 +104,7 @@ def clusters(calls: DataFrame, by: tuple[str, ...] = (), tol: int = 10, seq: Col
     """
     q = F.col("seq") if seq is None else seq
     # the chain reads the intervals three times, so they are computed once
-    d = chain_heads(cut_lineage(distinct_intervals(calls, by, q)), by, tol)
+    d = chain_heads(write_through(distinct_intervals(calls, by, q)), by, tol)
     return (
         d.groupBy(*by, "chrom", "std_type", "head_start", "head_end")
         .agg(
@@ -158,9 +166,14 @@ def number_events(d: DataFrame, by: tuple[str, ...], tile_bits: int = TILE_BITS)
     sizes = d.groupBy(*g, "chrom", "_tile").agg(F.count(F.lit(1)).alias("_n"))
     order = Window.partitionBy(*g).orderBy("chrom", "_tile").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*g, "chrom", "_tile", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"))
-    d = _join_small(d, offsets, [*g, "chrom", "_tile"])
-    rank = F.row_number().over(Window.partitionBy(*g, "chrom", "_tile").orderBy("cluster_start", "cluster_end"))
-    return d.withColumn("event_id", F.concat("std_type", F.lit("_"), (F.col("_before") + rank).cast("string"))).drop("_tile", "_before")
+    # a tile's offset comes as a row at its front, so the wide rows are shuffled once
+    first = offsets.withColumn("_offset", F.lit(True))
+    both = d.withColumn("_offset", F.lit(False)).unionByName(first, allowMissingColumns=True)
+    tile = Window.partitionBy(*g, "chrom", "_tile")
+    rank = F.row_number().over(tile.orderBy(F.desc("_offset"), "cluster_start", "cluster_end")) - 1
+    number = F.max("_before").over(tile) + rank
+    d = both.withColumn("event_id", F.concat("std_type", F.lit("_"), number.cast("string"))).where("not _offset")
+    return d.drop("_tile", "_before", "_offset")
 
 
 def _source_columns(s: str, r: Column) -> list[Column]:
@@ -194,7 +207,7 @@ def _source_columns(s: str, r: Column) -> list[Column]:
 
 def event_table(clustered: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """The event rows in the order of the result tables' columns, after ``by``; see ``merge_events``."""
-    d = number_events(cut_lineage(clustered), by)
+    d = number_events(write_through(clustered), by)
     rec = {s: F.col(f"{s}.rec") for s in SOURCES}
     a = anchor(rec)
     d = d.withColumn("_a", a)
@@ -233,7 +246,7 @@ def link_events(events: DataFrame, by: tuple[str, ...] = (), tol: int = 0) -> Da
     it. Runs a job to materialise the events.
     """
     # the join reads its sides several times; the events behind them are computed once
-    e = cut_lineage(events.select(*by, "event_id", "chrom", "std_svtype", "event_start", "event_end"))
+    e = write_through(events.select(*by, "event_id", "chrom", "std_svtype", "event_start", "event_end"))
     o = e.select(*by, F.col("event_id").alias("other_id"), "chrom", F.col("std_svtype").alias("other_type"),
                  F.col("event_start").alias("other_start"), F.col("event_end").alias("other_end"))
     pairs = overlap_join(e, o, (*by, "chrom"), ("event_start", "event_end"), ("other_start", "other_end"), tol)
@@ -248,7 +261,7 @@ def link_events(events: DataFrame, by: tuple[str, ...] = (), tol: int = 0) -> Da
 
 def linked_lists(events: DataFrame, by: tuple[str, ...] = (), tol: int = 0) -> DataFrame:
     """``events`` with ``links``, an array of structs in partner order, and ``linked_event``, its text ('' for none)."""
-    events = cut_lineage(events)
+    events = write_through(events)
     one = F.struct("other_start", "other_end", "other_type", "other_id", "chrom", "relation")
     lists = link_events(events, by, tol).groupBy(*by, "event_id").agg(F.array_sort(F.collect_list(one)).alias("links"))
     d = _join_small(events, lists, [*by, "event_id"])

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +48,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def write_through(df: DataFrame) -> DataFrame:
+    """``df`` written as a Parquet table in the checkpoint folder and read again.
+
+    For wide rows that are read several times: compressed, and readers take only the columns they need. The table is
+    removed when the Python process ends.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_remove, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # the session has ended before; the folder is its user's
+        pass
+
+
 def free_name(df: DataFrame, stem: str) -> str:
     """``stem``, or ``stem`` with underscores in front, whichever no column of ``df`` has (case-insensitively)."""
     taken = {c.lower() for c in df.columns}
