@@ -83,12 +83,12 @@ def nearest_join(
 
     At equal distance the smaller position wins. ``right`` must have at most one row per keys and position (aggregate
     it before); left rows without a match are absent, as are null positions. Null keys match each other. Positions meet
-    in buckets of ``tol + 1``, of which a left row enters three.
+    in buckets of sixteen times ``tol + 1``; a left row enters those that its tolerance reaches, most often one.
     """
-    width = tol + 1
+    width = 16 * (tol + 1)
     bucket = lambda c: ((c - F.pmod(c, F.lit(width))) / width).cast("long")
     a = left.select(*keys, F.col(left_id), F.col(left_on).cast("long").alias("_l")).where("_l is not null")
-    a = a.withColumn("_b", F.explode(F.array(*(bucket(F.col("_l")) + k for k in (-1, 0, 1)))))
+    a = a.withColumn("_b", F.explode(F.array_distinct(F.array(bucket(F.col("_l") - tol), bucket(F.col("_l") + tol)))))
     b = right.select(*(F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)), F.col(right_on).cast("long").alias("_p"), F.col(value))
     b = b.where("_p is not null").withColumn("_rb", bucket(F.col("_p")))
     on = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)] + [F.col("_b") == F.col("_rb")]
