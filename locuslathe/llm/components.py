@@ -67,7 +67,9 @@ def _peel(edges: DataFrame, rounds: int) -> tuple[DataFrame, bool]:
         if frontier.isEmpty():
             return seen, True
         seen = cut_lineage(seen.union(frontier))
-    return seen, False
+    # the component may end just where the last round got to: it is whole if no link leaves what was reached
+    last = arcs.join(frontier.select(F.col("v").alias("a")), "a", "left_semi").select(F.col("b").alias("v"))
+    return seen, last.join(seen, "v", "left_anti").isEmpty()
 
 
 def _propagate(edges: DataFrame) -> DataFrame:

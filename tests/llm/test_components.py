@@ -47,6 +47,13 @@ def test_long_component_with_the_hub(spark, rounds):
     assert run(spark, pairs, peel_rounds=rounds) == union_find(pairs)
 
 
+@pytest.mark.parametrize("rounds", [1, 2, 6])
+@pytest.mark.parametrize("others", [[], [(900, 901), (901, 902)]])
+def test_hub_component_that_ends_with_the_last_round(spark, rounds, others):
+    pairs = [(500, i) for i in range(501, 520)] + [(i, i + 1) for i in range(519, 518 + rounds)] + others
+    assert run(spark, pairs, peel_rounds=rounds) == union_find(pairs)
+
+
 def test_nothing_linked(spark):
     assert run(spark, []) == {} and run(spark, [(1, 1), (None, 2)]) == {}
 
