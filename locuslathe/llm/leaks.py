@@ -2,7 +2,8 @@
 
 Both sides are written in one form (NFKC, lower case, letters and digits only). Seeds are the least hashes of every
 window of ``w`` neighbouring ``q``-character strings (winnowing), so any run of ``q + w - 1`` characters that a document
-and an item share gives them a common seed. Documents and items that share a seed are joined, and greedy string tiling
+and an item share gives them a common seed. Leaks by coverage have seeds of their own, with ``q + w - 1`` the least tile,
+and an item shorter than that has one seed, all of it, which is looked for in every place of a document. Documents and items that share a seed are joined, and greedy string tiling
 marks their longest common stretches that do not overlap, found by Karp-Rabin hashes and compared character by
 character. Tiles may lie in any order, so a passage that was cut up and rearranged still counts by its coverage.
 
@@ -37,24 +38,27 @@ COVERAGE = 0.6
 
 @dataclass(frozen=True)
 class Family:
-    """``run`` shared characters are a leak; seeds are the least of ``run - q + 1`` hashes of ``q`` characters."""
+    """``run`` shared characters are a leak; its seeds are the least of ``run - q + 1`` hashes of ``q`` characters.
+
+    Coverage counts tiles of ``tile`` characters at least, or a shorter item as a whole; seeds have ``tile_q`` characters.
+    """
 
     name: str
     langs: tuple[str, ...]
     run: int
     q: int
     tile: int
+    tile_q: int
     seed: int
 
-    @property
-    def window(self) -> int:
-        return self.run - self.q + 1
+    def least_tile(self, item_chars: int) -> int:
+        return min(self.tile, item_chars)
 
 
 #: Scripts without spaces pack more into a character. The first family is for every language that no other names.
 FAMILIES = (
-    Family("words", (), 50, 32, 20, 0x9E3779B97F4A7C15),
-    Family("dense", ("zh", "ja"), 20, 16, 8, 0xC2B2AE3D27D4EB4F),
+    Family("words", (), 50, 32, 20, 16, 0x9E3779B97F4A7C15),
+    Family("dense", ("zh", "ja"), 20, 16, 8, 7, 0xC2B2AE3D27D4EB4F),
 )
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
@@ -108,15 +112,15 @@ def _least(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(h[:n], h[w - span : w - span + n])
 
 
-def _seeds(texts: list[np.ndarray], f: Family) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, seed) of all texts, unsigned; texts shorter than a run have none."""
+def _seeds(texts: list[np.ndarray], run: int, q: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, seed) of all texts, unsigned, one at least in every ``run`` characters; shorter texts have none."""
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     owner = np.repeat(np.arange(len(texts)), sizes)
     points = np.concatenate(texts) if texts else np.zeros(0, dtype=np.uint32)
-    if len(points) < f.run:
+    if len(points) < run:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-    least = _least(rolling(points, f.q, f.seed), f.window)
-    whole = owner[: len(least)] == owner[f.run - 1 :]
+    least = _least(rolling(points, q, salt), run - q + 1)
+    whole = owner[: len(least)] == owner[run - 1 :]
     own, value = owner[: len(least)][whole], least[whole]
     if not len(own):
         return own, value
@@ -178,20 +182,52 @@ def _family(lang: str | None) -> Family:
 _SEED_SCHEMA = "id long, seed long"
 
 
-def _item_seeds(items: DataFrame) -> DataFrame:
+def _grams(f: Family, runs_only: bool) -> tuple[int, int, int]:
+    """(run, q, salt) of the family's seeds."""
+    return (f.run, f.q, f.seed) if runs_only else (f.tile, f.tile_q, f.seed)
+
+
+def _whole(f: Family, size: int) -> tuple[int, int, int]:
+    """(run, q, salt) of the one seed of an item of ``size`` characters, fewer than a tile."""
+    return size, size, f.seed + size
+
+
+def _short_sizes(items: DataFrame) -> list[list[int]]:
+    """Per family, the numbers of characters of its items that are shorter than a tile; a few numbers in all."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = set()
+        for batch in batches:
+            for text, lang in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                f, n = _family(lang), len(normalise(text))
+                if 0 < n < f.tile:
+                    found.add((FAMILIES.index(f), n))
+        rows = sorted(found)
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int32()) for k in (0, 1)], ["family", "size"])
+
+    rows = items.mapInArrow(emit, "family int, size int").distinct().collect()
+    return [sorted(r["size"] for r in rows if r["family"] == k) for k in range(len(FAMILIES))]
+
+
+def _item_seeds(items: DataFrame, runs_only: bool) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts, langs = (batch.column(k).to_pylist() for k in range(3))
             for f in FAMILIES:
                 own = [k for k, x in enumerate(langs) if _family(x) == f]
-                who, seed = _seeds([normalise(texts[k]) for k in own], f)
-                picked = pa.array([ids[own[w]] for w in who.tolist()], pa.int64())
-                yield pa.RecordBatch.from_arrays([picked, pa.array(seed.view(np.int64))], ["id", "seed"])
+                forms = [normalise(texts[k]) for k in own]
+                short = set() if runs_only else {len(t) for t in forms if 0 < len(t) < f.tile}
+                kinds = [(range(len(own)), _grams(f, runs_only))]
+                kinds += [([k for k, t in enumerate(forms) if len(t) == n], _whole(f, n)) for n in sorted(short)]
+                for some, gram in kinds:
+                    who, seed = _seeds([forms[k] for k in some], *gram)
+                    picked = pa.array([ids[own[some[w]]] for w in who.tolist()], pa.int64())
+                    yield pa.RecordBatch.from_arrays([picked, pa.array(seed.view(np.int64))], ["id", "seed"])
 
     return items.mapInArrow(emit, _SEED_SCHEMA).distinct()
 
 
-def _doc_seeds(docs: DataFrame, wanted) -> DataFrame:
+def _doc_seeds(docs: DataFrame, wanted, grams: list[tuple[int, int, int]]) -> DataFrame:
     """Seeds of all documents; ``wanted``: broadcast of the sorted seeds to keep, or None to keep all."""
 
     def parts(ids: list, texts: list) -> Iterator[tuple[list, list[np.ndarray]]]:
@@ -212,8 +248,8 @@ def _doc_seeds(docs: DataFrame, wanted) -> DataFrame:
             bits[(keep >> np.uint64(42)).astype(np.int64)] = True
         for batch in batches:
             for ids, texts in parts(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for f in FAMILIES:
-                    who, seed = _seeds(texts, f)
+                for gram in grams:
+                    who, seed = _seeds(texts, *gram)
                     if keep is not None:
                         near = bits[(seed >> np.uint64(42)).astype(np.int64)]
                         who, seed = who[near], seed[near]
@@ -248,7 +284,7 @@ def _tile_pairs(pairs: DataFrame) -> DataFrame:
             for doc_id, item_id, text, item_text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 f = _family(lang)
                 item = item_of(item_text)
-                tiles = tile(item, doc_of(text), f.tile)
+                tiles = tile(item, doc_of(text), f.least_tile(len(item))) if len(item) else []
                 if tiles:
                     by_item = [b for _, _, b in sorted(tiles, key=lambda t: t[1])]
                     rows.append((doc_id, item_id, max(tiles)[0], sum(n for n, *_ in tiles), len(item), len(tiles), by_item != sorted(by_item), f.run))
@@ -261,8 +297,10 @@ def _tile_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(compare, _PAIR_SCHEMA)
 
 
-def tiled_pairs(docs: DataFrame, items: DataFrame, filter_seeds: int = FILTER_SEEDS) -> DataFrame:
-    """One row per document and item that share a seed and a tile: longest tile, covered characters, order.
+def tiled_pairs(docs: DataFrame, items: DataFrame, filter_seeds: int = FILTER_SEEDS, runs_only: bool = False) -> DataFrame:
+    """One row per document and item that share a tile: longest tile, covered characters, order.
+
+    With ``runs_only`` fewer pairs are compared: all that share a whole run, and others by chance.
 
     ``docs`` has doc_id (bigint) and text, ``items`` item_id (bigint), lang and item_text. Null or empty texts share
     nothing; rows with a null id are left out; a null lang counts as a language of words. Documents repeated under
@@ -270,13 +308,16 @@ def tiled_pairs(docs: DataFrame, items: DataFrame, filter_seeds: int = FILTER_SE
     """
     items = items.select(F.col("item_id").cast("long"), "item_text", "lang").where("item_id is not null")
     docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
-    own = cut_lineage(_item_seeds(items))
+    own = cut_lineage(_item_seeds(items, runs_only))
+    grams = [_grams(f, runs_only) for f in FAMILIES]
+    if not runs_only:
+        grams += [_whole(f, n) for f, sizes in zip(FAMILIES, _short_sizes(items), strict=True) for n in sizes]
     seeds = own.select("seed").distinct()
     wanted = None
     some = seeds.limit(filter_seeds + 1).toArrow().column("seed").combine_chunks()
     if len(some) <= filter_seeds:
         wanted = docs.sparkSession.sparkContext.broadcast(np.sort(np.asarray(some).view(np.uint64)))
-    shared = _doc_seeds(docs, wanted).withColumnRenamed("id", "doc_id")
+    shared = _doc_seeds(docs, wanted, grams).withColumnRenamed("id", "doc_id")
     pairs = cut_lineage(shared.join(own.withColumnRenamed("id", "item_id"), "seed").select("doc_id", "item_id").distinct())
     return _tile_pairs(
         pairs.join(items, "item_id").join(docs, "doc_id").select("doc_id", "item_id", "text", "item_text", "lang")
@@ -284,7 +325,10 @@ def tiled_pairs(docs: DataFrame, items: DataFrame, filter_seeds: int = FILTER_SE
 
 
 def leaked_items(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, filter_seeds: int = FILTER_SEEDS) -> DataFrame:
-    """The pairs that leak: one tile of a whole run, or tiles in any order that cover ``coverage`` of the item."""
+    """The pairs that leak: one tile of a whole run, or tiles in any order that cover ``coverage`` of the item.
+
+    An item shorter than the least tile leaks where a document holds it whole, however short it is.
+    """
     d = tiled_pairs(docs, items, filter_seeds)
     return (
         d.where((F.col("longest") >= F.col("run_needed")) | (F.col("covered") >= coverage * F.col("item_chars")))
@@ -296,5 +340,5 @@ def leaked_items(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE,
 
 def shared_runs(docs: DataFrame, items: DataFrame, filter_seeds: int = FILTER_SEEDS) -> DataFrame:
     """(doc_id, item_id) whose longest tile is a whole run: 50 characters, or 20 for zh and ja."""
-    d = tiled_pairs(docs, items, filter_seeds)
+    d = tiled_pairs(docs, items, filter_seeds, runs_only=True)
     return d.where("longest >= run_needed").select("doc_id", "item_id").distinct()

@@ -75,6 +75,35 @@ def test_cases(spark, limit):
     assert shared_runs(d.where("false"), e).collect() == [] and shared_runs(d, e.where("false")).collect() == []
 
 
+@pytest.mark.parametrize("limit", [2_000_000, 0])
+def test_pieces_and_short_items(spark, limit):
+    rng = random.Random(5)
+    latin = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    han = lambda n: "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(n))
+    docs, items, want = [], [], set()
+    for lang, word, least, run in (("en", latin, 20, 50), ("zh", han, 8, 20)):
+        for size in range(least - 1, run):  # rearranged pieces, each set apart by other characters
+            parts = [word(size) for _ in range(4)]
+            items.append((len(items), lang, "".join(parts), "", ""))
+            docs.append((len(docs), word(3) + "".join(p + word(5) for p in reversed(parts)), "", 1, ""))
+            if size >= least:
+                want.add((docs[-1][0], items[-1][0]))
+        for size in range(1, run):  # items that a document holds whole
+            text = word(size)
+            items.append((len(items), lang, text, "", ""))
+            docs.append((len(docs), word(7) + text + word(9), "", 1, ""))
+    texts = {i: norm(t) for i, t, *_ in docs}
+    for i, lang, t, *_ in items:
+        if len(norm(t)) < (20 if lang == "zh" else 50):
+            want |= {(d, i) for d, x in texts.items() if norm(t) in x}
+    d, e = spark.createDataFrame(docs, DOCS).repartition(3), spark.createDataFrame(items, ITEMS)
+    rows = {(r.doc_id, r.item_id): r for r in leaked_items(d, e, filter_seeds=limit).collect()}
+    assert want <= set(rows)
+    for (i, k), r in rows.items():  # others only if a tile covers enough of them
+        assert (i, k) in want or r.covered >= 0.6 * r.item_chars
+    assert all((i, k) in want for i, k in rows if len(norm(items[k][2])) < (8 if items[k][1] == "zh" else 20))
+
+
 def test_whole_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     items = spark.read.parquet("/root/testdata/sf0.01/eval_items.parquet")
