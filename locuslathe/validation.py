@@ -205,7 +205,10 @@ class ReadValidator(BaseValidator):
     def read(self) -> DataFrame:
         if self.file.fmt == "BAM":  # passed on as it is
             return self.spark.createDataFrame([], "file string, read_idx long, id string, description string, seq string, qual string")
-        return SRC.read_fastq(self.spark, str(self.file.path), trust=self.level == "trust")
+        return SRC.read_fastq(self.spark, str(self.file.path))
+
+    def _checked(self, rows: DataFrame) -> DataFrame:
+        return rows.where(F.col("read_idx") < SAMPLE) if self.level == "trust" else rows
 
     def check_minimal(self) -> None:
         super().check_minimal()
@@ -215,6 +218,7 @@ class ReadValidator(BaseValidator):
 
     def check(self, rows: DataFrame) -> DataFrame:
         s = self.settings
+        rows = self._checked(rows)
         parts = []
         if not s.allow_empty_id:
             parts.append(rows.where("coalesce(id, '') = ''").select(F.lit("Sequence has no ID").alias("message")))
@@ -238,7 +242,7 @@ class ReadValidator(BaseValidator):
             own |= {"base_name": pair["base_name"], "read_number": pair["read_number"], "illumina_pairing_detected": True}
         if self.file.fmt == "BAM":
             return own | {"num_reads": None}
-        stats = R.read_stats(rows).head().asDict()
+        stats = R.read_stats(self._checked(rows)).head().asDict()
         # a sample says nothing about the file's lengths
         return own | (stats if self.level == "strict" else {"num_reads": stats["num_reads"]})
 

@@ -206,6 +206,14 @@ def test_validators(spark, folder):
     assert g["passed"] and not V.check_genomes(r.data, r.outputs["plasmids"], True, True)["passed"]
 
 
+def test_trusted_reads_are_all_kept(spark, tmp_path):
+    f = tmp_path / "t.fastq"
+    f.write_text("".join(f"@r{i}\nAC{'G' if i < 10 else '#'}\n+\n@@@\n" for i in range(25)))
+    got = V.validate_reads(spark, InputFile(f, "r", Options(), "FASTQ", "NONE"), V.ReadSettings(check_invalid_chars=True))
+    assert [r.id for r in got.data.orderBy("read_idx").collect()] == [f"r{i}" for i in range(25)]
+    assert got.metadata["num_reads"] == 10 and got.issues.isEmpty()  # the checks look at ten
+
+
 def test_settings_and_parameters():
     s = V.GenomeSettings()
     assert s.update(min_sequence_length=5).min_sequence_length == 5 and s.min_sequence_length == 100
