@@ -325,6 +325,8 @@ def check_genomes(ref: DataFrame, mod: DataFrame, same_number: bool = True, same
     if same_lengths:
         for r in compared.where("status = 'length_mismatch'").orderBy("id").limit(100).collect():
             errors.append(f"Sequence length mismatch for '{r['id']}': difference={r['difference']:+d}")
+        if row["length_mismatches"] > 100:
+            errors.append(f"and {row['length_mismatches'] - 100} more sequence length mismatches")
     return {"name": "genomes", "passed": row["passed"], "errors": errors, "warnings": [], "metadata": row}
 
 
