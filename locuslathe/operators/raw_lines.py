@@ -69,19 +69,23 @@ def split_fields(line: Column) -> Column:
     one. ``bad``: it isn't closed, or goes on after its closing quote. Quotes elsewhere are plain characters.
     """
     plain = F.split(line, "\t", -1)
-    # doubled quotes are masked by a character that no line of text holds, so what is left closes the field
-    mask = "\u0001"
+    # doubled quotes are masked, so what is left closes the field; where the text has the mask's character, it is escaped
+    escape, quote, own = "\u0001", "\u0001b", "\u0001a"
+
+    def unmask(c: Column) -> Column:
+        return F.replace(F.replace(c, F.lit(quote), F.lit('"')), F.lit(own), F.lit(escape))
 
     def step(acc: Column, token: Column) -> Column:
         opened = acc["open"].isNotNull()
         quoted = opened | token.startswith('"')
-        rest = F.replace(F.when(opened, token).otherwise(F.substr(token, F.lit(2))), F.lit('""'), F.lit(mask))
+        rest = F.replace(F.when(opened, token).otherwise(F.substr(token, F.lit(2))), F.lit(escape), F.lit(own))
+        rest = F.replace(rest, F.lit('""'), F.lit(quote))
         close = F.instr(rest, '"')
         closed = close > 0
         body = F.when(closed, F.substr(rest, F.lit(1), close - 1)).otherwise(rest)
         text = F.when(opened, F.concat(acc["open"], F.lit("\t"), body)).otherwise(body)
         done = F.when(quoted & ~closed, acc["fields"]).otherwise(
-            F.concat(acc["fields"], F.array(F.when(quoted, F.replace(text, F.lit(mask), F.lit('"'))).otherwise(token)))
+            F.concat(acc["fields"], F.array(F.when(quoted, unmask(text)).otherwise(token)))
         )
         return F.struct(
             done.alias("fields"),

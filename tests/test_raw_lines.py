@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from locuslathe.operators import raw_lines
 from locuslathe.operators.raw_lines import judge_lines, rejected_lines, typed_rows
@@ -135,3 +136,9 @@ def test_whole_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/sv_raw_lines.parquet")
     want = {r.line_id: w for r in df.collect() if (w := brute(r.file_kind, r.raw_line))}
     assert {r.line_id: r.reason for r in rejected_lines(judge_lines(df)).collect()} == want
+
+
+def test_quoted_field_with_the_mask_character(spark):
+    line = '"a\u0001b""c\u0001a"\t"\u0001\tx"\t\u0001'
+    row = spark.createDataFrame([(line,)], "v string").select(raw_lines.split_fields(F.col("v")).alias("p")).head()["p"]
+    assert row["fields"] == ['a\u0001b"c\u0001a', "\u0001\tx", "\u0001"] and not row["bad"]
