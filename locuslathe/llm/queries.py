@@ -57,7 +57,7 @@ def p7_leaks(spark: SparkSession, sf: str) -> DataFrame:
 
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     """Every sentence of every document by its place."""
-    return split_sentences(_texts(spark, sf))
+    return split_sentences(spread_scan(_table(spark, sf, "documents").select("doc_id", "text", "lang")), lang_col="lang")
 
 
 QUERIES = {

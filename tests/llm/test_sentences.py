@@ -30,6 +30,8 @@ CASES = [
     "ตารางของตัวอย่างนี้มี 403 แถว| ระบบหยุดทำงานในขั้นตอนที่สอง| ความลึกลดลงเหลือ 20.3 เท่าแล้วเพิ่มขึ้น",
     "A heading\n|1. Stop!\n|\n|[20:56:28] asm: unmapped 17 (2.84%). Done. Next.\n|chr1\t5\t9\tDEL\t40.9\r\n|!!!???###\n|x'=x; y''=y; I'M\n|>contig_9 length=2. A\n|>done",
     "It was lost.Nobody knew.| We used a.b.fa and kept z.B. this.",
+    "»Weg damit.« Er ging.| »Nein. Doch«, rief er.| Aus.".replace("damit.« ", "damit.«| "),
+    "“Keep both.| Do not merge.” |After that.| (Both files. All of them.)| Done.",
     "It began at 8:51 a.m.|At 5 bp the median was 62.82.|After cleaning, e.g.chr1 of v3.1.a was kept.",
 ]
 
@@ -47,6 +49,45 @@ def test_case(case):
     assert [text[a:b] for a, b in sentence_spans(text)] == [text[a:b] for a, b in want]
 
 
+#: A word that shortens in another language, or that is a word of its own, ends a sentence here, whatever the hint.
+FOREIGN = [
+    ("We chose plan M.| The rest waited.", "fr"),
+    ("It is in group S.| Nobody knew.", "de"),
+    ("It grew to its max.| The rest fell.", "de"),
+    ("We saw the art.| Nobody cared.", None),
+    ("It took 5 min.| The rest fell.", None),
+    ("It is ok.| The rest fell.", "pl"),
+    ("We did it in the app.| The rest fell in App. F and app. 3.", "xx"),
+    ("C'est l'un des 3.| Il a été vu par M. Marr et Mme Sorn.", "de"),
+    ("Die Werte sind im 3. Lauf max. Länge und min. Breite.| Das war es.", "en"),
+    ("Il file della Sig. Rossi è nel cap. 3 del vol. 2.| La fine.", None),
+    ("Див. рис. 4 і табл. 2 на стор. 7.| Це було в тис. пар.", None),
+]
+
+
+@pytest.mark.parametrize("case, lang", FOREIGN)
+def test_language_of_the_passage(case, lang):
+    parts = [p.strip() for p in case.split("|")]
+    text = case.replace("|", "")
+    assert [text[a:b] for a, b in sentence_spans(text, lang)] == parts
+
+
+@pytest.mark.parametrize("size", [100, 1500, 3400, 10_000, 300_000])
+@pytest.mark.parametrize("ends", ["“”", "()", '""', "«»", "「」", "„“", "[]", "‘’", "（）"])
+def test_pairs_of_any_length(ends, size):
+    """However long a quotation or bracket is, the sentence that goes on after it is one; it takes linear time."""
+    inner = "Keep it (all). Do not “merge”. It’s late. "
+    inner = inner if ends not in ("()", "“”", "„“") else "Keep it. Do not merge. "
+    text = f"She wrote {ends[0]}{inner * (size // len(inner))}so{ends[1]} and left. Then all."
+    assert [text[a:b] for a, b in sentence_spans(text)] == [text[: -len(" Then all.")], "Then all."]
+
+
+def test_no_window_over_the_sentence_so_far():
+    before = "word " * 2000
+    text = f"He (the {before}one) said “{before}. It was. " + before + "” to them. Next."
+    assert len(sentence_spans(text)) == 2
+
+
 def test_empty_and_long():
     assert sentence_spans(None) == sentence_spans("") == sentence_spans(" \n\t\r\n　") == []
     long = "One more. " * 20_000 + '"' * 3000 + "1.1" * 5000
@@ -70,13 +111,13 @@ def test_all_text_is_covered(spark):
     for _ in range(1500):
         check("".join(rng.choice(bits) for _ in range(rng.randint(0, 40))))
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    texts = {r.doc_id: r.text for r in docs.collect()}
+    texts = {r.doc_id: (r.text, r.lang) for r in docs.collect()}
     got = {}
-    for r in split_sentences(docs).collect():
+    for r in split_sentences(docs, lang_col="lang").collect():
         got.setdefault(r.doc_id, []).append((r.char_from, r.char_to))
-    for i, t in texts.items():
+    for i, (t, lang) in texts.items():
         check(t or "")
-        assert sorted(got.get(i, [])) == sentence_spans(t)
+        assert sorted(got.get(i, [])) == sentence_spans(t, lang)
 
 
 def test_columns_and_empty_table(spark):
