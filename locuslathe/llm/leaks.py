@@ -3,18 +3,22 @@
 Both sides are written in one form (NFKC, lower case, letters and digits only). Seeds are the least hashes of every
 window of ``w`` neighbouring ``q``-character strings (winnowing), so any run of ``q + w - 1`` characters that a document
 and an item share gives them a common seed. Leaks by coverage have seeds of their own, with ``q + w - 1`` the least tile,
-and an item shorter than that has one seed, all of it, which is looked for in every place of a document. Documents and items that share a seed are joined, and greedy string tiling
-marks their longest common stretches that do not overlap, found by Karp-Rabin hashes and compared character by
-character. Tiles may lie in any order, so a passage that was cut up and rearranged still counts by its coverage.
-
-The items' seeds go to the workers as a filter while their number, which is counted first, is small; a document then
-emits only seeds that some item has. Beyond that every seed travels to the join. The result is the same.
+and an item shorter than that has one seed, all of it, which is looked for in every place of a document. Documents and
+items that share a seed are compared: Karp-Rabin hashes of the least tile say which places of the item the document can
+hold at all, and where those are too few for a leak the pair is done. Greedy string tiling marks the longest common
+stretches of the others, without overlap, compared character by character. Tiles may lie in any order, so a passage that
+was cut up and rearranged still counts by its coverage.
+
+Test material is small beside a corpus. While its characters, which are counted first, are few, it goes to the workers,
+and a document is read, joined to its items by their seeds and compared in one pass, without a shuffle. Beyond that
+seeds meet in a join, and only the texts of documents with a common seed travel to the comparison. The result is the same.
 """
 
 from __future__ import annotations
 
 import heapq
 import unicodedata
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -28,8 +32,12 @@ from pyspark.sql import types as T
 from locuslathe.llm.tokens import LETTER, NUMBER, _classes
 from locuslathe.session import cut_lineage
 
-#: Most item seeds (8 bytes each) that are sent to every worker.
+#: Most seeds of items that are sent to every worker; a text has one per character at most, and characters are counted.
 FILTER_SEEDS = 2_000_000
+#: Most document ids (8 bytes each) that are broadcast to pick the texts to compare.
+BROADCAST_IDS = 4_000_000
+#: Seeds of a chunk of documents whose items are looked up together.
+LOOKUPS = 500_000
 #: Code points that are hashed together, at least one text.
 CHUNK = 2_000_000
 #: A document and an item whose tiles cover this share of the item are a leak even without one long tile.
@@ -227,39 +235,35 @@ def _item_seeds(items: DataFrame, runs_only: bool) -> DataFrame:
     return items.mapInArrow(emit, _SEED_SCHEMA).distinct()
 
 
-def _doc_seeds(docs: DataFrame, wanted, grams: list[tuple[int, int, int]]) -> DataFrame:
-    """Seeds of all documents; ``wanted``: broadcast of the sorted seeds to keep, or None to keep all."""
+def _parts(ids: list, texts: list) -> Iterator[tuple[list, list[np.ndarray]]]:
+    """The normalised texts in chunks of about CHUNK code points, with their ids."""
+    own, some, size = [], [], 0
+    for i, t in zip(ids, texts, strict=True):
+        own.append(i)
+        some.append(normalise(t))
+        size += len(some[-1])
+        if size >= CHUNK:
+            yield own, some
+            own, some, size = [], [], 0
+    yield own, some
+
 
-    def parts(ids: list, texts: list) -> Iterator[tuple[list, list[np.ndarray]]]:
-        own, some, size = [], [], 0
-        for i, t in zip(ids, texts, strict=True):
-            own.append(i)
-            some.append(normalise(t))
-            size += len(some[-1])
-            if size >= CHUNK:
-                yield own, some
-                own, some, size = [], [], 0
-        yield own, some
+def _doc_seeds(docs: DataFrame, grams: list[tuple[int, int, int]]) -> DataFrame:
+    """Seeds of all documents, each once per document."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep = None if wanted is None else wanted.value
-        if keep is not None:
-            bits = np.zeros(1 << 22, dtype=bool)
-            bits[(keep >> np.uint64(42)).astype(np.int64)] = True
         for batch in batches:
-            for ids, texts in parts(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for ids, texts in _parts(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for gram in grams:
                     who, seed = _seeds(texts, *gram)
-                    if keep is not None:
-                        near = bits[(seed >> np.uint64(42)).astype(np.int64)]
-                        who, seed = who[near], seed[near]
-                        if len(keep):
-                            at = np.minimum(np.searchsorted(keep, seed), len(keep) - 1)
-                            who, seed = who[keep[at] == seed], seed[keep[at] == seed]
+                    order = np.lexsort((seed, who))
+                    who, seed = who[order], seed[order]
+                    keep = np.append(True, (who[1:] != who[:-1]) | (seed[1:] != seed[:-1])) if len(who) else np.zeros(0, dtype=bool)
+                    who, seed = who[keep], seed[keep]
                     picked = pa.array([ids[w] for w in who.tolist()], pa.int64())
                     yield pa.RecordBatch.from_arrays([picked, pa.array(seed.view(np.int64))], ["id", "seed"])
 
-    return docs.mapInArrow(emit, _SEED_SCHEMA).distinct()
+    return docs.mapInArrow(emit, _SEED_SCHEMA)
 
 
 _PAIR_SCHEMA = T.StructType(
@@ -276,31 +280,164 @@ _PAIR_SCHEMA = T.StructType(
 )
 
 
-def _tile_pairs(pairs: DataFrame) -> DataFrame:
+class _Items:
+    """Distinct item texts with the hashes of their least tiles, and their seeds' posting lists."""
+
+    def __init__(self, texts: list[str | None], langs: list[str | None], runs_only: bool, seeds: bool = True) -> None:
+        self.family = [_family(x) for x in langs]
+        self.forms = [normalise(t) for t in texts]
+        self.least = [f.run if runs_only else f.least_tile(len(t)) for f, t in zip(self.family, self.forms, strict=True)]
+        self.needed = np.array([f.run for f in self.family], dtype=np.int64)
+        self.chars = np.array([len(t) for t in self.forms], dtype=np.int64)
+        own = [rolling(t, n) if n else np.zeros(0, dtype=np.uint64) for t, n in zip(self.forms, self.least, strict=True)]
+        self.sizes = np.array([len(h) for h in own], dtype=np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.hashes = np.concatenate([*own, np.zeros(0, dtype=np.uint64)])
+        self.by_least = np.array(self.least, dtype=np.int64)
+        if seeds:
+            self._post(runs_only)
+
+    def _post(self, runs_only: bool) -> None:
+        """Per kind of seed: its gram, the sorted seeds, where each one's items begin, and the items."""
+        self.kinds = []
+        for f in FAMILIES:
+            own = [k for k, x in enumerate(self.family) if x is f]
+            parts = [(own, _grams(f, runs_only))]
+            if not runs_only:
+                for n in sorted({int(self.chars[k]) for k in own if 0 < self.chars[k] < f.tile}):
+                    parts.append(([k for k in own if self.chars[k] == n], _whole(f, n)))
+            for some, gram in parts:
+                who, seed = _seeds([self.forms[k] for k in some], *gram)
+                if len(who):
+                    order = np.lexsort((who, seed))
+                    seed, who = seed[order], np.array(some, dtype=np.int64)[who[order]]
+                    keys, at = np.unique(seed, return_index=True)
+                    bits = np.zeros(1 << 20, dtype=bool)
+                    bits[(keys >> np.uint64(44)).astype(np.int64)] = True
+                    self.kinds.append((gram, keys, np.append(at, len(seed)), who, bits))
+
+    def candidates(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(text number, item) of all that share a seed, each pair once, in the order of the texts."""
+        n, found = max(1, len(self.forms)), [np.zeros(0, dtype=np.int64)]
+        for gram, keys, at, items, bits in self.kinds:
+            who, seed = _seeds(texts, *gram)
+            near = bits[(seed >> np.uint64(44)).astype(np.int64)]
+            who, seed = who[near], seed[near]
+            k = np.minimum(np.searchsorted(keys, seed), len(keys) - 1)
+            hit = keys[k] == seed
+            pair = np.unique(who[hit] * len(keys) + k[hit])
+            who, k = pair // len(keys), pair % len(keys)
+            # a seed that many items share is expanded in pieces, so that memory is bounded
+            total = np.cumsum(at[k + 1] - at[k])
+            piece = total // LOOKUPS
+            for p in np.unique(piece):
+                w, j = who[piece == p], k[piece == p]
+                size = at[j + 1] - at[j]
+                place = np.repeat(at[j] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+                found.append(np.unique(np.repeat(w, size) * n + items[place]))
+        both = np.unique(np.concatenate(found))
+        return both // n, both % n
+
+    def compare(self, which: np.ndarray, doc: np.ndarray, runs_only: bool, coverage: float | None) -> list[tuple]:
+        """(item, longest, covered, tiles, reordered) of the items ``which`` that share a tile with the document.
+
+        With ``coverage`` only of those that can be a leak: what the hashes bound from above must reach it or a run.
+        """
+        out = []
+        for least in np.unique(self.by_least[which]):
+            some = which[(self.by_least[which] == least) & (self.sizes[which] > 0)]
+            own = np.sort(rolling(doc, int(least)))
+            if not len(some) or not len(own):
+                continue
+            size = self.sizes[some]
+            owner = np.repeat(np.arange(len(some)), size)
+            place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+            h = self.hashes[np.repeat(self.begins[some], size) + place]
+            hit = np.flatnonzero(own[np.minimum(np.searchsorted(own, h), len(own) - 1)] == h)
+            if not len(hit):
+                continue
+            o, p = owner[hit], place[hit]
+            step = np.append(least, np.where(o[1:] == o[:-1], p[1:] - p[:-1], least))  # places from the hit before
+            covered = np.bincount(o, np.minimum(step, least), len(some))
+            run = np.flatnonzero(np.append(True, (step[1:] != 1) | (o[1:] != o[:-1])))
+            longest = np.zeros(len(some), dtype=np.int64)
+            np.maximum.at(longest, o[run], np.diff(np.append(run, len(hit))) + least - 1)
+            able = longest > 0
+            if coverage is not None:
+                able &= (longest >= self.needed[some]) | (covered >= coverage * self.chars[some])
+            for k in some[able].tolist():
+                tiles = tile(self.forms[k], doc, int(least))
+                if tiles:
+                    by_item = [b for _, _, b in sorted(tiles, key=lambda t: t[1])]
+                    out.append((k, max(tiles)[0], sum(n for n, *_ in tiles), len(tiles), by_item != sorted(by_item)))
+        return out
+
+    def row(self, doc_id: int, item_id: int, found: tuple) -> tuple:
+        k, longest, covered, tiles, reordered = found
+        return doc_id, item_id, longest, covered, int(self.chars[k]), tiles, reordered, self.family[k].run
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) if rows else [()] * len(_PAIR_SCHEMA)
+    types = (pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.bool_(), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], _PAIR_SCHEMA.names)
+
+
+#: The items of the latest broadcast that this worker has met, by the broadcast's name.
+_AT_HAND: dict[str, tuple[_Items, list[list[int]]]] = {}
+
+
+def _tile_here(docs: DataFrame, items: DataFrame, runs_only: bool, coverage: float | None) -> DataFrame:
+    """Pairs from one pass over the documents, with all items at every worker. Equal texts of items are compared once."""
+    ids: dict[tuple, list[int]] = {}
+    for r in items.toArrow().to_pylist():
+        ids.setdefault((r["item_text"], r["lang"]), []).append(r["item_id"])
+    name = uuid.uuid4().hex
+    sent = docs.sparkSession.sparkContext.broadcast(([t for t, _ in ids], [x for _, x in ids], list(ids.values())))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if name not in _AT_HAND:
+            _AT_HAND.clear()
+            texts, langs, who = sent.value
+            _AT_HAND[name] = _Items(texts, langs, runs_only), who
+        own, who = _AT_HAND[name]
+        for batch in batches:
+            for doc_ids, texts in _parts(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                at, item = own.candidates(texts)
+                cut = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else np.zeros(0, dtype=np.int64)
+                for s, e in zip(cut, np.append(cut[1:], len(at)), strict=False):
+                    k = int(at[s])
+                    found = own.compare(item[s:e], texts[k], runs_only, coverage)
+                    if found:
+                        yield _batch([own.row(doc_ids[k], i, f) for f in found for i in who[f[0]]])
+
+    return docs.mapInArrow(compare, _PAIR_SCHEMA)
+
+
+def _tile_pairs(pairs: DataFrame, runs_only: bool, coverage: float | None) -> DataFrame:
+    """Pairs given as rows (doc_id, item_id, text, item_text, lang)."""
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        doc_of, item_of = lru_cache(8)(normalise), lru_cache(4096)(normalise)
+        doc_of = lru_cache(8)(normalise)
+        item_of = lru_cache(4096)(lambda text, lang: _Items([text], [lang], runs_only, seeds=False))
+        only = np.zeros(1, dtype=np.int64)
         for batch in batches:
             rows = []
             for doc_id, item_id, text, item_text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                f = _family(lang)
-                item = item_of(item_text)
-                tiles = tile(item, doc_of(text), f.least_tile(len(item))) if len(item) else []
-                if tiles:
-                    by_item = [b for _, _, b in sorted(tiles, key=lambda t: t[1])]
-                    rows.append((doc_id, item_id, max(tiles)[0], sum(n for n, *_ in tiles), len(item), len(tiles), by_item != sorted(by_item), f.run))
-            cols = list(zip(*rows, strict=True)) if rows else [()] * len(_PAIR_SCHEMA)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.bool_(), pa.int32()), strict=True)],
-                _PAIR_SCHEMA.names,
-            )
+                item = item_of(item_text, lang)
+                rows += [item.row(doc_id, item_id, f) for f in item.compare(only, doc_of(text), runs_only, coverage)]
+            yield _batch(rows)
 
     return pairs.mapInArrow(compare, _PAIR_SCHEMA)
 
 
-def tiled_pairs(docs: DataFrame, items: DataFrame, filter_seeds: int = FILTER_SEEDS, runs_only: bool = False) -> DataFrame:
+def tiled_pairs(
+    docs: DataFrame, items: DataFrame, filter_seeds: int = FILTER_SEEDS, runs_only: bool = False, coverage: float | None = None
+) -> DataFrame:
     """One row per document and item that share a tile: longest tile, covered characters, order.
 
-    With ``runs_only`` fewer pairs are compared: all that share a whole run, and others by chance.
+    With ``runs_only`` tiles are whole runs, so only pairs that share one are found. With ``coverage`` pairs whose tiles
+    can be seen to reach neither a run nor that share of the item are left out early.
 
     ``docs`` has doc_id (bigint) and text, ``items`` item_id (bigint), lang and item_text. Null or empty texts share
     nothing; rows with a null id are left out; a null lang counts as a language of words. Documents repeated under
@@ -308,20 +445,20 @@ def tiled_pairs(docs: DataFrame, items: DataFrame, filter_seeds: int = FILTER_SE
     """
     items = items.select(F.col("item_id").cast("long"), "item_text", "lang").where("item_id is not null")
     docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
+    chars = items.agg(F.coalesce(F.sum(F.coalesce(F.length("item_text"), F.lit(0)) + 8), F.lit(0))).head()[0]
+    if chars <= filter_seeds:
+        return _tile_here(docs, items, runs_only, coverage)
     own = cut_lineage(_item_seeds(items, runs_only))
     grams = [_grams(f, runs_only) for f in FAMILIES]
     if not runs_only:
         grams += [_whole(f, n) for f, sizes in zip(FAMILIES, _short_sizes(items), strict=True) for n in sizes]
-    seeds = own.select("seed").distinct()
-    wanted = None
-    some = seeds.limit(filter_seeds + 1).toArrow().column("seed").combine_chunks()
-    if len(some) <= filter_seeds:
-        wanted = docs.sparkSession.sparkContext.broadcast(np.sort(np.asarray(some).view(np.uint64)))
-    shared = _doc_seeds(docs, wanted, grams).withColumnRenamed("id", "doc_id")
+    shared = _doc_seeds(docs, grams).withColumnRenamed("id", "doc_id")
     pairs = cut_lineage(shared.join(own.withColumnRenamed("id", "item_id"), "seed").select("doc_id", "item_id").distinct())
-    return _tile_pairs(
-        pairs.join(items, "item_id").join(docs, "doc_id").select("doc_id", "item_id", "text", "item_text", "lang")
-    )
+    hit = cut_lineage(pairs.select("doc_id").distinct())
+    hit = F.broadcast(hit) if hit.count() <= BROADCAST_IDS else hit
+    texts = docs.join(hit, "doc_id", "left_semi")  # others stay where they are
+    joined = pairs.join(items, "item_id").join(texts, "doc_id").select("doc_id", "item_id", "text", "item_text", "lang")
+    return _tile_pairs(joined, runs_only, coverage)
 
 
 def leaked_items(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, filter_seeds: int = FILTER_SEEDS) -> DataFrame:
@@ -329,7 +466,7 @@ def leaked_items(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE,
 
     An item shorter than the least tile leaks where a document holds it whole, however short it is.
     """
-    d = tiled_pairs(docs, items, filter_seeds)
+    d = tiled_pairs(docs, items, filter_seeds, coverage=coverage)
     return (
         d.where((F.col("longest") >= F.col("run_needed")) | (F.col("covered") >= coverage * F.col("item_chars")))
         .groupBy("doc_id", "item_id")
