@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,7 @@ def build_session(app: str = "locuslathe", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for k, v in (defaults | conf).items():
         b = b.config(k, v)
@@ -48,17 +51,49 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Folders of the tables that ``write_through`` wrote and that still lie there, oldest first.
+_TABLES: dict[str, SparkSession] = {}
+
+
 def write_through(df: DataFrame) -> DataFrame:
     """``df`` written as a Parquet table in the checkpoint folder and read again.
 
-    For wide rows that are read several times: compressed, and readers take only the columns they need. The table is
-    removed when the Python process ends.
+    For rows that are read several times: compressed, and readers take only the columns they need. The table is removed
+    by ``release``, at the end of the ``temporary_tables`` around, or when the Python process ends.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    if not _TABLES:
+        atexit.register(_remove_all)
+    _TABLES[path] = spark
+    out = spark.read.schema(df.schema).parquet(path)
+    out._locuslathe_table = path
+    return out
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Remove what ``write_through`` wrote for these; nothing may read them any more. Others are left alone."""
+    for t in tables:
+        path = getattr(t, "_locuslathe_table", None)
+        if path in _TABLES:
+            _remove(_TABLES.pop(path), path)
+
+
+@contextmanager
+def temporary_tables() -> Iterator[None]:
+    """Tables that operators write inside are removed at the end; results must be written or collected before it."""
+    before = set(_TABLES)
+    try:
+        yield
+    finally:
+        for path in [p for p in _TABLES if p not in before]:
+            _remove(_TABLES.pop(path), path)
+
+
+def _remove_all() -> None:
+    for path in list(_TABLES):
+        _remove(_TABLES.pop(path), path)
 
 
 def _remove(spark: SparkSession, path: str) -> None:
