@@ -95,6 +95,8 @@ OPENING = (
     _never(r"(?:\(?\d{1,3}|\p{Lu})[.)]", r"\s"),
     _never(r"(?:\d{1,3}[.)]\s{0,4})?\p{Lu}\.", r"\s*\p{Lu}"),
 )
+#: Function words in a sentence that tell its language without its line.
+ENOUGH_WORDS = 4
 #: The most characters that an opening can have.
 OPENING_CHARS = 10
 
@@ -376,9 +378,12 @@ class _Line:
         """Those of ``some`` for which the sentence from ``start`` to ``to``, the line and the column speak most."""
         if len(some) == 1:
             return set(some)
+        own = self._count(start, to)
+        score = {x: own.get(x, 0) for x in some}
+        if (most := max(score.values())) >= ENOUGH_WORDS:
+            return {x for x in some if 2 * score[x] >= most}
         if self.counts is None:
             self.counts = self._count(0, len(self.text))
-        own = self._count(start, to)
         if not any(own.get(x) or self.counts.get(x) for x in some):
             return set(some)
         score = {x: 4 * own.get(x, 0) + self.counts.get(x, 0) + 3 * (x == self.lang) for x in some}
@@ -388,9 +393,10 @@ class _Line:
     def _count(self, start: int, to: int) -> dict[str, int]:
         out: dict[str, int] = {}
         known = self.t.function_words
-        for w in self.t.word.findall(self.text, start, to):
-            for lang in known.get(w) or known.get(w.lower(), ()):
-                out[lang] = out.get(lang, 0) + 1
+        for w in self.t.word.findall(self.text[start:to].lower()):
+            if w in known:
+                for lang in known[w]:
+                    out[lang] = out.get(lang, 0) + 1
         return out
 
     def shortened(self, start: int, at: int, to: int) -> bool:
@@ -398,7 +404,7 @@ class _Line:
         text, t = self.text, self.t
         token = t.token.match(text, start, at).group()[:-1]
         reaches = t.words.get(token) or t.words.get(token[token.rfind(".") + 1 :]) if token else None
-        if reaches is None and not t.some_own.match(text, at):
+        if not (reaches and any(r.match(text, at) for r in set(reaches.values()))) and not t.some_own.match(text, at):
             return False
         script = next((s for s, some in SCRIPT_LANGUAGES.items() if any(x in some for x in reaches)), "Latin") if reaches else (
             "Cyrillic" if token and "Ѐ" <= token[0] <= "ӿ" else "Latin"

@@ -2,9 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from locuslathe.llm.components import cluster_links, link_groups
+from locuslathe.llm.components import _mix, _unmix, cluster_links, least_labels, link_groups
 
 
 def union_find(pairs):
@@ -39,6 +41,8 @@ def test_shapes(spark):
     rng.shuffle(pairs)
     want = union_find(pairs)
     assert run(spark, pairs, heavy=50) == want
+    assert run(spark, pairs, heavy=50, finish=3) == want  # several contractions, hubs by broadcast
+    assert run(spark, pairs, heavy=3, finish=0, peel_rounds=1) == want
 
 
 @pytest.mark.parametrize("rounds", [1, 3])
@@ -54,6 +58,24 @@ def test_hub_component_that_ends_with_the_last_round(spark, rounds, others):
     assert run(spark, pairs, peel_rounds=rounds) == union_find(pairs)
 
 
+def test_mix_is_undone(spark):
+    ids = [0, 1, -1, 2**63 - 1, -(2**63), 2**32, -(2**32), 12345678901]
+    d = spark.createDataFrame([(i,) for i in ids], "i long").select("i", _mix(F.col("i")).alias("m"), _unmix(_mix(F.col("i"))).alias("u"))
+    rows = d.collect()
+    assert all(r.i == r.u for r in rows) and len({r.m for r in rows}) == len(ids)
+
+
+def test_least_labels():
+    rng = random.Random(8)
+    for n in (0, 1, 5, 60, 400):
+        pairs = [(rng.randint(0, n), rng.randint(0, n)) for _ in range(n)]
+        v, root = least_labels(*np.array(pairs, dtype=np.int64).reshape(-1, 2).T)
+        want = union_find([(a, b) for a, b in pairs if a != b])
+        assert {x: r for x, r in zip(v.tolist(), root.tolist(), strict=True) if x in want} == want
+    chain = np.arange(100_000)
+    assert set(least_labels(chain[1:], chain[:-1])[1].tolist()) == {0}
+
+
 def test_nothing_linked(spark):
     assert run(spark, []) == {} and run(spark, [(1, 1), (None, 2)]) == {}
 
