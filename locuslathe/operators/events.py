@@ -3,11 +3,16 @@
 Nothing here gathers the calls of a chromosome and type in one task, although a chain is a walk in sort order:
 
 * Calls with equal coordinates always chain, so the calls are first reduced to distinct intervals (with map-side
-  combine), each with its best record per source and its number of copies.
-* The walk looks back by one interval only. It runs per tile of ``2**TILE_BITS`` bases, and a tile's first interval
-  gets its predecessor as a row in front of it, made from a table with one row per tile. A chain that runs on through
-  tiles finds its head in the same way.
+  combine), each with the rank and id of its best record per source and its number of copies.
+* The walk looks back by one interval only. It runs per tile of ``2**TILE_BITS`` bases, where the rows before the first
+  break belong to a chain that may have begun in a tile before. Whether it has, and where, is decided on a table with
+  one row per tile; only the first and the last chain of a tile are ever put together across tiles.
 * Event numbers are ranks inside a tile plus the number of events in the tiles before.
+* Chains, numbers and links are made of ranks, ids and coordinates alone. The other fields of the best records join at
+  the end, by record_id, which no key can skew.
+
+A chain's steps are summed and counted on the way; the list of all of them is only made where it is asked for, as the
+result tables print it.
 """
 
 from __future__ import annotations
@@ -21,9 +26,10 @@ from locuslathe.session import write_through
 
 TILE_BITS = 20
 SOURCES = ("asm", "long_ont", "long_pacbio", "short")
+#: Fields of the best records that no step before the last one needs.
 _PAYLOAD = (
-    "record_id", "start1", "end1", "svlen", "raw_svtype", "info_svtype", "supporting_reads", "score", "copy_number",
-    "chr2", "pos2", "supporting_methods", "start_mod", "end_mod", "coverage_before_100bp", "coverage_after_100bp",
+    "raw_svtype", "info_svtype", "score", "copy_number", "chr2", "pos2", "supporting_methods", "start_mod", "end_mod",
+    "coverage_before_100bp", "coverage_after_100bp",
 )
 
 
@@ -41,14 +47,53 @@ def best_rank(seq: Column) -> Column:
 
 
 def distinct_intervals(calls: DataFrame, by: tuple[str, ...], seq: Column) -> DataFrame:
-    """One row per distinct interval of a group: copies and, per source, the best record with its rank."""
+    """One row per distinct interval of a group: copies and, per source, the best record's rank, id, reads and length."""
     keys = [*by, "chrom", "std_type", "start1", "end1"]
-    best = F.struct(best_rank(seq).alias("rank"), F.struct(*_PAYLOAD).alias("rec"))
+    best = F.struct(best_rank(seq).alias("rank"), F.struct("record_id", "supporting_reads", "svlen").alias("rec"))
     return calls.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), *(F.max(F.when(F.col("source") == s, best)).alias(s) for s in SOURCES)
     )
 
 
+_HERE = ("start1", "end1")
+
+
+def _walk(intervals: DataFrame, by: tuple[str, ...], tol: int, tile_bits: int) -> DataFrame:
+    """``intervals`` with ``_tile``, ``_head`` and ``step_percent`` from the walk through each tile by itself.
+
+    ``_head`` is null for the rows before the tile's first break, whose chain may come from a tile before.
+    """
+    g = [*by, "chrom", "std_type"]
+    tile = Window.partitionBy(*g, "_tile").orderBy(*_HERE)
+    here = F.struct(F.col("start1").alias("s"), F.col("end1").alias("e"))
+    d = intervals.withColumn("_tile", F.shiftright("start1", tile_bits))
+    d = d.withColumns({"_prev": F.lag(here).over(tile), "_last": F.lead(F.lit(True)).over(tile).isNull()})
+    p = (F.col("_prev.s"), F.col("_prev.e"), F.col("start1"), F.col("end1"))
+    d = d.withColumn("_joined", F.when(F.col("_prev").isNotNull(), near_overlap(*p, tol)))
+    d = d.withColumn("_own", F.when(~F.col("_joined"), here))
+    head = F.last("_own", ignorenulls=True).over(tile.rowsBetween(Window.unboundedPreceding, 0))
+    return d.withColumns({"_head": head, "step_percent": F.when(F.col("_joined"), overlap_percent(*p))}).drop("_prev", "_joined", "_own")
+
+
+def _carried(tiles: DataFrame, by: tuple[str, ...], tol: int) -> DataFrame:
+    """(*group, _tile, _open_head, _open_percent) from one row per tile: its first and last interval and its last head.
+
+    The rows before the first break of a tile continue the chain of the tile before, or begin one of their own.
+    """
+    g = [*by, "chrom", "std_type"]
+    across = Window.partitionBy(*g).orderBy("_tile")
+    t = tiles.withColumn("_before", F.lag("_end").over(across))
+    p = (F.col("_before.s"), F.col("_before.e"), F.col("_first.s"), F.col("_first.e"))
+    t = t.withColumn("_on", F.coalesce(near_overlap(*p, tol), F.lit(False)))
+    own = F.coalesce("_max_head", F.when(~F.col("_on"), F.col("_first")))
+    t = t.withColumn("_own", own)
+    last = F.last("_own", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1))
+    return t.withColumn("_from", last).select(
+        *g, "_tile", F.when(F.col("_on"), F.col("_from")).otherwise(F.col("_first")).alias("_open_head"),
+        F.when(F.col("_on"), overlap_percent(*p)).alias("_open_percent"),
+    )
+
+
 def chain_heads(intervals: DataFrame, by: tuple[str, ...], tol: int, tile_bits: int = TILE_BITS) -> DataFrame:
     """``intervals`` (distinct per group) with ``head_start``, ``head_end`` of their chain and ``step_percent``.
 
@@ -56,36 +101,15 @@ def chain_heads(intervals: DataFrame, by: tuple[str, ...], tol: int, tile_bits:
     ``step_percent`` is the overlap of the two, null at a head.
     """
     g = [*by, "chrom", "std_type"]
-    d = intervals.withColumn("_tile", F.shiftright("start1", tile_bits))
     here = F.struct(F.col("start1").alias("s"), F.col("end1").alias("e"))
-    tile = Window.partitionBy(*g, "_tile").orderBy("start1", "end1")
-    across = Window.partitionBy(*g).orderBy("_tile")
-
-    def seeded(rows: DataFrame, seeds: DataFrame, head: Column) -> DataFrame:
-        """The rows behind their tile's seed, each with its predecessor's verdict in ``_joined`` and its own ``_head``."""
-        both = rows.withColumn("_seed", F.lit(False)).unionByName(seeds.withColumn("_seed", F.lit(True)), allowMissingColumns=True)
-        prev = F.lag(here).over(tile)
-        p = (F.col("_prev.s"), F.col("_prev.e"), F.col("start1"), F.col("end1"))
-        both = both.withColumn("_prev", prev).withColumn("_joined", F.coalesce(near_overlap(*p, tol), F.lit(False)))
-        own = F.when(F.col("_seed"), head).when(~F.col("_joined"), here)
-        return both.withColumns({"_head": own, "step_percent": F.when(F.col("_joined"), overlap_percent(*p))})
-
-    # a tile's seed is the interval before its first one; it sorts to the front, as it starts in an earlier tile
-    narrow = d.select(*g, "_tile", "start1", "end1")
-    last = narrow.groupBy(*g, "_tile").agg(F.max(here).alias("_last")).withColumn("_p", F.lag("_last").over(across))
-    seeds = last.where("_p is not null").select(*g, "_tile", F.col("_p.s").alias("start1"), F.col("_p.e").alias("end1"))
-    none = F.lit(None).cast("struct<s:bigint,e:bigint>")
-    tiles = seeded(narrow, seeds, none).groupBy(*g, "_tile").agg(F.max("_head").alias("_h"), F.max(F.when(F.col("_seed"), here)).alias("_p"))
-    # and its head is the last one of the tiles before
-    carried = F.last("_h", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1))
-    seeds = tiles.withColumn("_carried", carried).where("_p is not null").select(
-        *g, "_tile", F.col("_p.s").alias("start1"), F.col("_p.e").alias("end1"), "_carried"
-    )
-    d = seeded(d, seeds, F.col("_carried"))
-    own = F.last("_head", ignorenulls=True).over(tile.rowsBetween(Window.unboundedPreceding, 0))
-    d = d.withColumn("_own", own).where("not _seed")
-    return d.withColumns({"head_start": F.col("_own.s"), "head_end": F.col("_own.e")}).drop(
-        "_tile", "_seed", "_carried", "_prev", "_joined", "_head", "_own"
+    d = _walk(intervals, by, tol, tile_bits)
+    tiles = d.groupBy(*g, "_tile").agg(F.min(here).alias("_first"), F.max(here).alias("_end"), F.max("_head").alias("_max_head"))
+    d = _join_small(d, _carried(tiles, by, tol), [*g, "_tile"])
+    tile = Window.partitionBy(*g, "_tile").orderBy(*_HERE)
+    percent = F.when(F.row_number().over(tile) == 1, F.col("_open_percent")).otherwise(F.col("step_percent"))
+    head = F.coalesce("_head", "_open_head")
+    return d.withColumns({"head_start": head["s"], "head_end": head["e"], "step_percent": percent}).drop(
+        "_tile", "_last", "_head", "_open_head", "_open_percent"
     )
 
 
@@ -96,26 +120,66 @@ def _join_small(d: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     return d.join(renamed, on, "left").drop(*(f"_j{i}" for i in range(len(keys))))
 
 
-def clusters(calls: DataFrame, by: tuple[str, ...] = (), tol: int = 10, seq: Column | None = None) -> DataFrame:
-    """One row per chain: group, chrom, std_type, cluster_start, cluster_end, n_members, steps, the best per source.
+def clusters(
+    calls: DataFrame, by: tuple[str, ...] = (), tol: int = 10, seq: Column | None = None, steps: bool = True, tile_bits: int = TILE_BITS
+) -> DataFrame:
+    """One row per chain: group, chrom, std_type, cluster_start, cluster_end, last_start, first_end, n_members,
+    percent_total (of its n_members - 1 steps), and per source the best record.
 
-    ``steps`` holds (start1, end1, percent, copies) of the distinct intervals in chain order. Runs a job to materialise
-    the distinct intervals.
+    With ``steps`` also their list, (start1, end1, percent, copies) of the distinct intervals in chain order. Runs a job
+    to materialise the chains of the tiles.
     """
+    g = [*by, "chrom", "std_type"]
+    here = F.struct(F.col("start1").alias("s"), F.col("end1").alias("e"))
     q = F.col("seq") if seq is None else seq
-    # the chain reads the intervals three times, so they are computed once
-    d = chain_heads(write_through(distinct_intervals(calls, by, q)), by, tol)
-    return (
-        d.groupBy(*by, "chrom", "std_type", "head_start", "head_end")
-        .agg(
-            F.min("start1").alias("cluster_start"),
-            F.max("end1").alias("cluster_end"),
-            F.sum("n").alias("n_members"),
-            F.array_sort(F.collect_list(F.struct("start1", "end1", "step_percent", "n"))).alias("steps"),
-            *(F.max(s).alias(s) for s in SOURCES),
-        )
-        .drop("head_start", "head_end")
+    d = _walk(distinct_intervals(calls, by, q), by, tol, tile_bits)
+    listed = [F.collect_list(F.struct("start1", "end1", "step_percent", "n")).alias("steps")] if steps else []
+    parts = d.groupBy(*g, "_tile", "_head").agg(
+        F.min("start1").alias("cluster_start"),
+        F.max("end1").alias("cluster_end"),
+        F.max("start1").alias("last_start"),
+        F.min("end1").alias("first_end"),
+        F.sum("n").alias("n_members"),
+        (F.coalesce(F.sum("step_percent"), F.lit(0.0)) + F.sum(F.col("n") - 1) * F.lit(100.0)).alias("percent_total"),
+        F.min(here).alias("_first"),
+        F.max(here).alias("_end"),
+        F.max("_last").alias("_last"),
+        *listed,
+        *(F.max(s).alias(s) for s in SOURCES),
+    )
+    parts = write_through(parts)
+    tiles = parts.groupBy(*g, "_tile").agg(
+        F.min("_first").alias("_first"), F.max("_end").alias("_end"), F.max("_head").alias("_max_head")
+    )
+    carried = _carried(tiles, by, tol)
+    # the first and the last chain of a tile may belong to those of others
+    edge = F.col("_head").isNull() | F.col("_last")
+    made = ["cluster_start", "cluster_end", "last_start", "first_end", "n_members", "percent_total", *(["steps"] if steps else []), *SOURCES]
+    inner = parts.where(~edge).select(*g, *made)
+    outer = _join_small(parts.where(edge), carried, [*g, "_tile"])
+    own = F.col("_head").isNull()
+    outer = outer.withColumns(
+        {
+            "_head": F.coalesce("_head", "_open_head"),
+            "percent_total": F.col("percent_total") + F.when(own, F.coalesce("_open_percent", F.lit(0.0))).otherwise(F.lit(0.0)),
+        }
+    )
+    if steps:
+        first = lambda x: (x["start1"] == F.col("_first.s")) & (x["end1"] == F.col("_first.e"))
+        with_percent = F.transform("steps", lambda x: F.when(first(x), x.withField("step_percent", F.col("_open_percent"))).otherwise(x))
+        outer = outer.withColumn("steps", F.when(own, with_percent).otherwise(F.col("steps")))
+    outer = outer.groupBy(*g, "_head").agg(
+        F.min("cluster_start").alias("cluster_start"),
+        F.max("cluster_end").alias("cluster_end"),
+        F.max("last_start").alias("last_start"),
+        F.min("first_end").alias("first_end"),
+        F.sum("n_members").alias("n_members"),
+        F.sum("percent_total").alias("percent_total"),
+        *([F.flatten(F.collect_list("steps")).alias("steps")] if steps else []),
+        *(F.max(s).alias(s) for s in SOURCES),
     )
+    out = inner.unionByName(outer.select(*g, *made))
+    return out.withColumn("steps", F.array_sort("steps")) if steps else out
 
 
 def step_percentages(steps: Column) -> Column:
@@ -205,38 +269,67 @@ def _source_columns(s: str, r: Column) -> list[Column]:
     return out
 
 
-def event_table(clustered: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """The event rows in the order of the result tables' columns, after ``by``; see ``merge_events``."""
-    d = number_events(write_through(clustered), by)
-    rec = {s: F.col(f"{s}.rec") for s in SOURCES}
-    a = anchor(rec)
-    d = d.withColumn("_a", a)
+def event_spans(clustered: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The events of chains with their ids and coordinates, and the best records' structs per source."""
+    d = number_events(clustered, by)
+    spans = {s: F.struct(F.col(f"{s}.rec.svlen").alias("svlen"), (-F.col(f"{s}.rank.s")).alias("start1"), (-F.col(f"{s}.rank.e")).alias("end1")) for s in SOURCES}
+    d = d.withColumn("_a", anchor(spans))
     # without any length an insertion spans its cluster; other types always have one once cleaned
     lone = F.col("_a").isNull() & (F.col("std_type") != "INS")
-    latest = F.array_max(F.transform("steps", lambda x: x["start1"]))
-    earliest = F.array_min(F.transform("steps", lambda x: x["end1"]))
     return d.select(
         *by,
         "event_id",
         "chrom",
         F.col("std_type").alias("std_svtype"),
-        F.coalesce("_a.event_start", F.when(lone, latest).otherwise(F.col("cluster_start"))).alias("event_start"),
-        F.coalesce("_a.event_end", F.when(lone, earliest).otherwise(F.col("cluster_end"))).alias("event_end"),
+        F.coalesce("_a.event_start", F.when(lone, F.col("last_start")).otherwise(F.col("cluster_start"))).alias("event_start"),
+        F.coalesce("_a.event_end", F.when(lone, F.col("first_end")).otherwise(F.col("cluster_end"))).alias("event_end"),
         F.col("_a.event_length_bp").alias("event_length_bp"),
-        *(c for s in SOURCES for c in _source_columns(s, rec[s])),
-        step_percentages(F.col("steps")).alias("step_percentages"),
         sum((F.col(s).isNotNull().cast("int") for s in SOURCES), F.lit(0)).alias("support_score"),
+        *(["steps"] if "steps" in clustered.columns else []),
+        *SOURCES,
+    )
+
+
+def event_table(spans: DataFrame, calls: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The event rows in the order of the result tables' columns, after ``by``; see ``merge_events``.
+
+    The best records' other fields come from ``calls`` by record_id; of rows that share one, one is taken whole.
+    """
+    picks = F.filter(
+        F.array(*(F.struct(F.lit(s).alias("_source"), F.col(f"{s}.rec.record_id").alias("_id"), (-F.col(f"{s}.rank.s")).alias("start1"), (-F.col(f"{s}.rank.e")).alias("end1"), F.col(f"{s}.rec.svlen").alias("svlen"), F.col(f"{s}.rec.supporting_reads").alias("supporting_reads"), F.col(s).isNotNull().alias("_any")) for s in SOURCES)),
+        lambda x: x["_any"],
+    )
+    keys = [*by, "event_id", "chrom", "std_svtype", "event_start", "event_end", "event_length_bp", "support_score"]
+    listed = ["steps"] if "steps" in spans.columns else []
+    rows = spans.select(*keys, *listed, F.inline_outer(picks))
+    # an event without a best record keeps apart from the others in the shuffle
+    rows = rows.withColumn("_k", F.coalesce("_id", F.xxhash64(*by, "event_id")))
+    fields = calls.select(F.col("record_id").alias("_record"), *_PAYLOAD)
+    rows = rows.join(fields, (F.col("_k") == F.col("_record")) & F.col("_id").isNotNull(), "left")
+    whole = F.struct("start1", "end1", "svlen", "supporting_reads", *_PAYLOAD)
+    d = rows.groupBy(*keys).agg(
+        *(F.first(c).alias(c) for c in listed), *(F.max(F.when(F.col("_source") == s, whole)).alias(s) for s in SOURCES)
+    )
+    return d.select(
+        *keys[:-1],
+        *(c for s in SOURCES for c in _source_columns(s, F.col(s))),
+        *([step_percentages(F.col("steps")).alias("step_percentages")] if listed else []),
+        "support_score",
     )
 
 
-def merge_events(calls: DataFrame, by: tuple[str, ...] = (), tol: int = 10, seq: Column | None = None) -> DataFrame:
+def merge_events(
+    calls: DataFrame, by: tuple[str, ...] = (), tol: int = 10, seq: Column | None = None, steps: bool = True, fields: DataFrame | None = None
+) -> DataFrame:
     """Events of cleaned calls, per group ``by`` (a run).
 
     ``calls`` are those of ``calls.good_calls`` with a record_id and the load order ``seq``. Chains of close intervals of
     one chromosome and type become an event; its coordinates and length are those of the best record whose source
-    reports the least length. No calls, no events.
+    reports the least length. No calls, no events. ``steps``: with the list step_percentages. ``fields``: where the best
+    records' other fields are read; for calls that took costly joins, the rows before them. Runs a job.
     """
-    return event_table(clusters(calls, by, tol, seq), by)
+    spans = event_spans(clusters(calls, by, tol, seq, steps), by)
+    return event_table(spans, calls if fields is None else fields, by)
 
 
 def link_events(events: DataFrame, by: tuple[str, ...] = (), tol: int = 0) -> DataFrame:

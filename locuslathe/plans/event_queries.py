@@ -59,41 +59,43 @@ def sv_resolved_support(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sv_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    c = E.clusters(C.good_calls(_cleaned(spark, sf)), RUN, 10, F.col("load_seq"))
-    pct = E.step_percentages(F.col("steps"))
-    total = F.aggregate(pct, F.lit(0.0), lambda a, x: a + x)
+    c = E.clusters(C.good_calls(_cleaned(spark, sf)), RUN, 10, F.col("load_seq"), steps=False)
     return c.select(
         "run_id", "chrom", "std_type", "cluster_start", "cluster_end", "n_members",
-        F.size(pct).cast("long").alias("n_steps"), F.round(total, 4).alias("percent_total"),
+        (F.col("n_members") - 1).alias("n_steps"), F.round("percent_total", 4).alias("percent_total"),
     )
 
 
 def sv_best_records(spark: SparkSession, sf: str) -> DataFrame:
-    c = E.clusters(C.good_calls(_cleaned(spark, sf)), RUN, 10, F.col("load_seq"))
+    c = E.clusters(C.good_calls(_cleaned(spark, sf)), RUN, 10, F.col("load_seq"), steps=False)
     return c.select("run_id", "chrom", "std_type", "cluster_start", "cluster_end", *(F.col(f"{s}.rec.record_id").alias(f"{s}_record") for s in E.SOURCES))
 
 
-def _events(spark: SparkSession, sf: str) -> DataFrame:
-    return E.merge_events(_resolved(spark, sf), RUN, 10, F.col("load_seq"))
+def _events(spark: SparkSession, sf: str, steps: bool) -> DataFrame:
+    return E.merge_events(_resolved(spark, sf), RUN, 10, F.col("load_seq"), steps, C.good_calls(_cleaned(spark, sf)))
+
+
+def _spans(spark: SparkSession, sf: str) -> DataFrame:
+    return E.event_spans(E.clusters(_resolved(spark, sf), RUN, 10, F.col("load_seq"), steps=False), RUN)
 
 
 def sv_events(spark: SparkSession, sf: str) -> DataFrame:
-    return _events(spark, sf).drop("step_percentages")
+    return _events(spark, sf, False)
 
 
 def sv_links(spark: SparkSession, sf: str) -> DataFrame:
-    return E.link_events(_events(spark, sf), RUN, 0)
+    return E.link_events(_spans(spark, sf), RUN, 0)
 
 
 def sv_links_within_5(spark: SparkSession, sf: str) -> DataFrame:
-    return E.link_events(_events(spark, sf), RUN, 5).groupBy("run_id", "relation").agg(F.count(F.lit(1)).alias("n"))
+    return E.link_events(_spans(spark, sf), RUN, 5).groupBy("run_id", "relation").agg(F.count(F.lit(1)).alias("n"))
 
 
 def sv_event_report(spark: SparkSession, sf: str) -> DataFrame:
     """The result tables' rows with links and percentages as text."""
     from locuslathe.functions.intervals import format_percents
 
-    d = E.linked_lists(_events(spark, sf), RUN, 0)
+    d = E.linked_lists(_events(spark, sf, True), RUN, 0)
     return d.withColumn("percentage_overlap", format_percents(F.col("step_percentages"))).drop("links", "step_percentages")
 
 
