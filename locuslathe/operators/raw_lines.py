@@ -22,8 +22,11 @@ BROADCAST_CHARS = 8_000_000
 #: Ways to which the lines of a frequent text are spread where the dictionary isn't broadcast.
 SALTS = 64
 
-#: A number: sign, digits with at most one point and at least one digit, exponent.
-NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+#: What no number has: with these signs only, what casts to a double is a sign, digits with at most one point and at
+#: least one digit, and an exponent.
+NO_NUMBER = r"[^0-9eE.+-]"
+#: Texts of a field that has no value.
+MISSING = ("", ".", "NA")
 _BLANKS = " \t 　"
 
 
@@ -137,15 +140,20 @@ def _structure(lines: DataFrame, line_id: str, kind: str, raw: str, extra: tuple
 
 def is_number(c: Column) -> Column:
     """Whether a text is a number as the files allow it, finite as a double; null for null."""
-    d = F.when(c.rlike(NUMBER), c.try_cast("double"))
-    return F.when(c.isNotNull(), F.coalesce(d.isNotNull() & (F.abs(d) <= F.lit(1.7976931348623157e308)), F.lit(False)))
+    return F.when(c.isNotNull(), number_value(c).isNotNull())
+
+
+def number_value(c: Column) -> Column:
+    """The number that a text is, null for any other text."""
+    d = F.when(~c.rlike(NO_NUMBER), c.try_cast("double"))
+    return F.when(F.abs(d) <= F.lit(1.7976931348623157e308), d)
 
 
 def invalid_values(structured: DataFrame) -> DataFrame:
     """The dictionary of failing values: (field, value, reason), each distinct text cast once."""
     pairs = F.array(*(F.struct(F.lit(c).alias("field"), F.col(f"v_{c}").alias("value")) for c in ("start", "end", "svlen")))
     distinct = structured.select(F.inline(pairs)).where("value is not null").distinct()
-    missing = (F.col("field") == "svlen") & F.col("value").isin("", ".", "NA")
+    missing = (F.col("field") == "svlen") & F.col("value").isin(*MISSING)
     return distinct.where(~is_number(F.col("value")) & ~missing).select(
         "field", "value", F.concat(F.lit("invalid_"), "field").alias("reason")
     )
@@ -187,23 +195,40 @@ def typed_rows(judged: DataFrame) -> DataFrame:
     """The good lines as typed rows: line_id, kind, then every column that any kind has, null where it has none.
 
     Numbers are cast as the files' loader does: to double, cut toward 0 for the integer columns, null where the text is
-    none. Other fields are texts as they stand, unquoted.
+    none. ``nulled_fields`` names the number columns, joined by commas in the rows' order, whose text is neither a number
+    that fits nor missing; null if there are none. Other fields are texts as they stand, unquoted.
     """
     names = list(dict.fromkeys(c for k in KINDS.values() for c in k.longest))
+    numbers = [n for n in names if n in INTEGERS or n in DOUBLES]
 
-    def pick(name: str) -> Column:
+    def text(name: str) -> Column:
         value = F.lit(None).cast("string")
         for kind, k in KINDS.items():
             if name in k.longest:
                 value = F.when(F.col("kind") == kind, F.get("fields", F.lit(k.longest.index(name)))).otherwise(value)
-        if name in INTEGERS or name in DOUBLES:
-            value = _bare(value)
-            value = F.when(is_number(value), value.try_cast("double"))
-        if name in INTEGERS:
-            value = F.when(F.abs(value) < F.lit(9.2e18), value).cast("long")
-        return value.alias({"start": "start_pos", "end": "end_pos"}.get(name, name.lower()))
-
-    return judged.where("reason is null").select("line_id", "kind", *(pick(n) for n in names))
+        return _bare(value) if name in numbers else value
+
+    def typed(name: str) -> Column:
+        # the lines' own numbers were tested value by value; the others are tested here
+        tested = name in ("start", "end", "svlen")
+        value = F.col(f"t_{name}").try_cast("double") if tested else number_value(F.col(f"t_{name}"))
+        return F.when(F.abs(value) < F.lit(9.2e18), value).cast("long") if name in INTEGERS else value
+
+    d = judged.where("reason is null").select("line_id", "kind", *(text(n).alias(f"t_{n}") for n in names))
+    d = d.select("line_id", "kind", *(f"t_{n}" for n in names), *(typed(n).alias(f"n_{n}") for n in numbers))
+    lost = F.array_compact(
+        F.array(*(F.when(F.col(f"n_{n}").isNull() & ~F.col(f"t_{n}").isin(*MISSING), F.lit(_renamed(n))) for n in numbers))
+    )
+    return d.select(
+        "line_id",
+        "kind",
+        *(F.col(f"n_{n}" if n in numbers else f"t_{n}").alias(_renamed(n)) for n in names),
+        F.when(F.size(lost) > 0, F.array_join(lost, ",")).alias("nulled_fields"),
+    )
+
+
+def _renamed(name: str) -> str:
+    return {"start": "start_pos", "end": "end_pos"}.get(name, name.lower())
 
 
 def rejected_lines(judged: DataFrame) -> DataFrame:

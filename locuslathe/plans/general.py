@@ -66,7 +66,65 @@ QUERIES = {
     "p5_rows": p5_rows,
 }
 
+# lines taken apart by regular expressions, written without any constant of the operators
+_LINES = r"""
+  ln AS (SELECT line_id, file_kind AS kind, regexp_replace(coalesce(raw_line, ''), '\r\z', '') AS line FROM sv_raw_lines),
+  fl AS (
+    SELECT line_id, kind, NOT regexp_full_match(line, '(("([^"]|"")*"|[^"\t][^\t]*|)\t)*("([^"]|"")*"|[^"\t][^\t]*|)') AS bad,
+           [CASE WHEN starts_with(x, '"') THEN replace(x[2:-2], '""', '"') ELSE x END
+            FOR x IN regexp_extract_all(line || chr(9), '("(?:[^"]|"")*"|[^"\t][^\t]*|)\t', 1)] AS f
+    FROM ln),
+  nm AS (
+    SELECT line_id, kind, bad, f, len(f) AS n, trim(f[2], ' \t') AS s, trim(f[3], ' \t') AS e,
+           trim(CASE kind WHEN 'long' THEN f[6] WHEN 'short' THEN f[8] END, ' \t') AS l FROM fl),
+  jd AS (
+    SELECT line_id, kind, f, n, CASE
+      WHEN bad THEN 'bad_quoting'
+      WHEN NOT coalesce((kind = 'asm' AND n = 7) OR (kind = 'long' AND n IN (9, 11)) OR (kind = 'short' AND n IN (11, 13))
+                        OR (kind = 'support' AND n = 5), false) THEN 'column_count'
+      WHEN NOT {num_s} THEN 'invalid_start' WHEN NOT {num_e} THEN 'invalid_end'
+      WHEN kind IN ('long', 'short') AND l NOT IN ('', '.', 'NA') AND NOT {num_l} THEN 'invalid_svlen' END AS reason FROM nm)"""
+
+
+def _is_number_sql(x: str) -> str:
+    pattern = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+    return f"(regexp_full_match({x}, '{pattern}') AND coalesce(isfinite(TRY_CAST({x} AS DOUBLE)), false))"
+
+
+for _x in "sel":
+    _LINES = _LINES.replace("{num_" + _x + "}", _is_number_sql(_x))
+
+
+def _typed_sql() -> str:
+    # column: place of the field per kind, and whether it is an integer (i), a decimal (d) or a text (t)
+    columns = (
+        ("chrom", "t", dict(asm=1, long=1, short=1, support=1)), ("start_pos", "i", dict(asm=2, long=2, short=2, support=2)),
+        ("end_pos", "i", dict(asm=3, long=3, short=3, support=3)), ("svtype", "t", dict(asm=4, long=4, short=4, support=4)),
+        ("info_svtype", "t", dict(asm=5, long=5, short=7)), ("start_mod", "i", dict(asm=6)), ("end_mod", "i", dict(asm=7)),
+        ("svlen", "i", dict(long=6, short=8)), ("supporting_reads", "i", dict(long=7, short=9, support=5)),
+        ("score", "d", dict(long=8, short=10)), ("supporting_methods", "t", dict(long=9)),
+        ("coverage_before_100bp", "d", dict(long=10, short=12)), ("coverage_after_100bp", "d", dict(long=11, short=13)),
+        ("chr2", "t", dict(short=5)), ("pos2", "i", dict(short=6)), ("rdcn", "i", dict(short=11)),
+    )
+    texts, values, lost = [], [], []
+    for name, kind, places in columns:
+        field = "CASE kind " + " ".join(f"WHEN '{k}' THEN f[{p}]" for k, p in places.items()) + " END"
+        texts.append(f"{field} AS t_{name}" if kind == "t" else f"trim({field}, ' \t') AS t_{name}")
+        number = f"CASE WHEN {_is_number_sql('t_' + name)} THEN CAST(t_{name} AS DOUBLE) END"
+        if kind == "i":
+            number = f"CAST(CASE WHEN abs({number}) < 9.2e18 THEN trunc({number}) END AS BIGINT)"
+        values.append(f"t_{name} AS {name}" if kind == "t" else f"{number} AS {name}")
+        if kind != "t":
+            lost.append(f"CASE WHEN {name} IS NULL AND t_{name} NOT IN ('', '.', 'NA') THEN '{name}' END")
+    return f"""WITH {_LINES}, tx AS (SELECT line_id, kind, {", ".join(texts)} FROM jd WHERE reason IS NULL),
+        ty AS (SELECT *, {", ".join(values)} FROM tx)
+        SELECT line_id, kind, {", ".join(n for n, *_ in columns)},
+               nullif(array_to_string([x FOR x IN [{", ".join(lost)}] IF x IS NOT NULL], ','), '') AS nulled_fields FROM ty"""
+
+
 SQL = {
+    "p5_found": f"WITH {_LINES} SELECT line_id, reason FROM jd WHERE reason IS NOT NULL",
+    "p5_rows": _typed_sql(),
     "p1_found": """
         SELECT chrom, std_type FROM (
           SELECT nullif(trim(chrom), '') AS chrom, std_type, count(*) AS n, sum(count(*)) OVER () AS total

@@ -132,6 +132,25 @@ def test_typed_rows_and_empty(spark):
     assert judge_lines(df.where("line_id = 9")).count() == 0
 
 
+def test_nulled_fields(spark):
+    df = spark.createDataFrame(
+        [(1, "long", "c\t1\t2\tDEL\ti\t-5\tabc\t1d\tm\t\u00017\t.5"), (2, "support", "c\t1e30\t2\tDEL\tNA"), (3, "support", "c\t1\t2\tDEL\t 7 ")],
+        "line_id long, file_kind string, raw_line string",
+    )
+    rows = {r.line_id: r for r in typed_rows(judge_lines(df)).collect()}
+    assert rows[1].nulled_fields == "supporting_reads,score,coverage_before_100bp" and rows[1].coverage_after_100bp == 0.5
+    assert rows[2].nulled_fields == "start_pos" and rows[2].start_pos is None and rows[2].supporting_reads is None
+    assert rows[3].nulled_fields is None and rows[3].supporting_reads == 7
+
+
+def test_number_is_the_stated_pattern(spark):
+    rng = random.Random(6)
+    texts = sorted({"".join(rng.choice("019.eE+-dfxXnaiINF_ \u0001\u0663") for _ in range(rng.randint(0, 6))) for _ in range(6000)})
+    texts += ["1e308", "1e309", "-1e400", "Infinity", "NaN", "0x1p3", "1" * 400, "inf", "+.5E-3", "9" * 308]
+    d = spark.createDataFrame([(t,) for t in texts], "t string").select("t", raw_lines.is_number(F.col("t")).alias("n"))
+    assert {r.t: r.n for r in d.collect()} == {t: is_num(t) for t in texts}
+
+
 def test_whole_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/sv_raw_lines.parquet")
     want = {r.line_id: w for r in df.collect() if (w := brute(r.file_kind, r.raw_line))}
