@@ -40,9 +40,22 @@ def linked_relation(s1: Column, e1: Column, s2: Column, e2: Column, tol: int) ->
     return label.when(F.lit(tol > 0) & close, f"same_coordinates_within_{tol}bp") if tol > 0 else label
 
 
+def _two_decimals(p: Column) -> Column:
+    """A number from 0 to 100 with two decimals, rounded by its exact binary value and ties to even, as C prints it.
+
+    The number is split into two of fewer bits, whose hundredfolds are exact.
+    """
+    high = p.cast("float").cast("double")
+    whole = F.floor(high * 100)
+    beyond_half = (high * 100 - whole - 0.5) + (p - high) * 100
+    up = (beyond_half > 0) | ((beyond_half == 0) & (whole % 2 == 1))
+    n = whole + up.cast("long")
+    return F.concat(F.floor(n / 100).cast("string"), F.lit("."), F.lpad((n % 100).cast("string"), 2, "0"))
+
+
 def format_percents(values: Column) -> Column:
     """Percentages as text: whole ones without decimals, others with two, separated by comma and blank."""
-    one = lambda p: F.when(p == F.floor(p), F.concat(F.floor(p).cast("string"), F.lit("%"))).otherwise(F.format_string("%.2f%%", p))  # noqa: E731, E501
+    one = lambda p: F.concat(F.when(p == F.floor(p), F.floor(p).cast("string")).otherwise(_two_decimals(p)), F.lit("%"))
     return F.array_join(F.transform(values, one), ", ")
 
 

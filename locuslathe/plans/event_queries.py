@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locuslathe.functions.svtypes import ASSEMBLY_PREFIXES, DEFAULT, NAMES, type_resolution
+from locuslathe.functions.intervals import format_percents
+from locuslathe.functions.svtypes import type_resolution
 from locuslathe.operators import calls as C
 from locuslathe.operators import events as E
 from locuslathe.operators import interval_join as J
@@ -93,8 +94,6 @@ def sv_links_within_5(spark: SparkSession, sf: str) -> DataFrame:
 
 def sv_event_report(spark: SparkSession, sf: str) -> DataFrame:
     """The result tables' rows with links and percentages as text."""
-    from locuslathe.functions.intervals import format_percents
-
     d = E.linked_lists(_events(spark, sf, True), RUN, 0)
     return d.withColumn("percentage_overlap", format_percents(F.col("step_percentages"))).drop("links", "step_percentages")
 
@@ -141,15 +140,26 @@ QUERIES = {
 }
 
 
+# the cascade written out, without the operators' tables
+_EXACT = """CASE WHEN {i} = 'INS' THEN 'INS' WHEN {i} = 'DEL' THEN 'DEL' WHEN {i} IN ('DUP', 'DUP:TANDEM', 'DUP:INT') THEN 'DUP'
+    WHEN {i} = 'INV' THEN 'INV' WHEN {i} IN ('TRA', 'TRANS', 'BND', 'CTX') THEN 'TRA' WHEN {i} IN ('RPL', 'REPL', 'SUB', 'SNV') THEN 'RPL' END"""
+_WITHIN = """CASE WHEN {r} LIKE '%INS%' THEN 'INS' WHEN {r} LIKE '%DEL%' THEN 'DEL' WHEN {r} LIKE '%DUP%' THEN 'DUP' WHEN {r} LIKE '%INV%' THEN 'INV'
+    WHEN {r} LIKE '%TRA%' OR {r} LIKE '%BND%' OR {r} LIKE '%CTX%' THEN 'TRA'
+    WHEN {r} LIKE '%RPL%' OR {r} LIKE '%REPL%' OR {r} LIKE '%SUB%' OR {r} LIKE '%SNV%' THEN 'RPL' END"""
+_PREFIX = "CASE WHEN {s} = 'asm' THEN CASE WHEN {r} LIKE 'CPG%' THEN 'INS' WHEN {r} LIKE 'CPL%' THEN 'DEL' WHEN {r} LIKE 'SYN%' THEN 'RPL' END END"
+
+
+def _steps_sql(info: str, raw: str, source: str) -> list[str]:
+    i, r = f"upper(trim({info}))", f"upper(trim({raw}))"
+    return [_EXACT.replace("{i}", i), _WITHIN.replace("{r}", r), _PREFIX.replace("{s}", source).replace("{r}", r)]
+
+
 def _cascade_sql(info: str, raw: str, source: str) -> str:
-    key, u = f"upper(trim({info}))", f"upper(trim({raw}))"
-    whens = [f"WHEN {key} = '{n}' THEN '{s}'" for n, s in NAMES]
-    whens += [f"WHEN contains({u}, '{n}') THEN '{s}'" for n, s in NAMES]
-    whens += [f"WHEN {source} = 'asm' AND starts_with({u}, '{n}') THEN '{s}'" for n, s in ASSEMBLY_PREFIXES]
-    return f"CASE {' '.join(whens)} END"
+    return f"coalesce({', '.join(_steps_sql(info, raw, source))})"
 
 
 _STD = _cascade_sql("info_svtype", "raw_svtype", "source")
+_HOW = _steps_sql("info_svtype", "raw_svtype", "source")
 _NA = "('', 'NA', 'N/A', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null', '<NA>', '#N/A', '#NA')"
 _CLEAN = f"""
   raw AS (
@@ -162,7 +172,7 @@ _CLEAN = f"""
            CASE WHEN source = 'asm' THEN start_mod END AS start_mod,
            CASE WHEN source = 'asm' THEN end_mod END AS end_mod,
            coverage_before_100bp, coverage_after_100bp,
-           coalesce({_STD}, '{DEFAULT}') AS std_type, ({_STD}) IS NULL AS defaulted
+           coalesce({_STD}, 'RPL') AS std_type, ({_STD}) IS NULL AS defaulted
     FROM sv_records),
   cl AS (
     SELECT * EXCLUDE (start_pos, end_pos, len, defaulted), least(start_pos, end_pos) AS start1, greatest(start_pos, end_pos) AS end1,
@@ -172,7 +182,7 @@ _CLEAN = f"""
 _SUP = f"""
   sup AS (
     SELECT run_id, chrom, std_type, start1, CAST(sum(coalesce(supporting_reads, 0)) AS BIGINT) AS reads FROM (
-      SELECT run_id, trim(chrom) AS chrom, coalesce({_cascade_sql("NULL", "svtype", "'long'")}, '{DEFAULT}') AS std_type,
+      SELECT run_id, trim(chrom) AS chrom, coalesce({_cascade_sql("NULL", "svtype", "'long'")}, 'RPL') AS std_type,
              start_pos AS start1, supporting_reads
       FROM caller_support WHERE trim(chrom) <> '')
     WHERE start1 IS NOT NULL GROUP BY 1, 2, 3, 4)"""
@@ -295,7 +305,8 @@ _DEPTH = f"""WITH {_CLEAN},
     FROM fl f LEFT JOIN al a ON a.chrom = f.chrom AND a.b < f.end0 AND f.beg0 < a.e GROUP BY 1, 2)"""
 
 SQL = {
-    "sv_clean": f"WITH {_CLEAN} SELECT * EXCLUDE (load_seq), CASE WHEN {_STD.replace('raw_svtype', 'r.raw_svtype').replace('info_svtype', 'r.info_svtype').replace('source', 'r.source')} IS NULL THEN 'fallback_default' WHEN upper(trim(r.info_svtype)) IN ({', '.join(repr(n) for n, _ in NAMES)}) THEN 'info_svtype' WHEN {' OR '.join(f'''contains(upper(r.raw_svtype), '{n}')''' for n, _ in NAMES)} THEN 'raw_svtype' ELSE 'asm_prefix' END AS resolution FROM cl r",  # noqa: E501
+    "sv_clean": f"""WITH {_CLEAN} SELECT * EXCLUDE (load_seq), CASE WHEN {_HOW[0]} IS NOT NULL THEN 'info_svtype' WHEN {_HOW[1]} IS NOT NULL THEN 'raw_svtype'
+        WHEN {_HOW[2]} IS NOT NULL THEN 'asm_prefix' ELSE 'fallback_default' END AS resolution FROM cl""",
     "sv_rejects": """
         SELECT record_id, CASE WHEN nullif(trim(chrom), '') IS NULL THEN 'missing_required_fields' ELSE 'invalid_coordinates' END AS reject_reason
         FROM sv_records WHERE nullif(trim(chrom), '') IS NULL OR start_pos IS NULL OR end_pos IS NULL""",
@@ -319,6 +330,22 @@ SQL = {
     "sv_events": f"{_EVENTS} SELECT * FROM ev",
     "sv_links": f"{_links_sql(0)} SELECT * FROM lk WHERE relation IS NOT NULL",
     "sv_links_within_5": f"{_links_sql(5)} SELECT run_id, relation, count(*) AS n FROM lk WHERE relation IS NOT NULL GROUP BY 1, 2",
+    "sv_event_report": f"""{_links_sql(0)},
+        tx AS (
+          SELECT run_id, event_id, string_agg(t, '; ' ORDER BY other_start, other_end, other_type, other_id) AS linked_event FROM (
+            SELECT *, other_id || ' (' || other_type || ', ' || chrom || ':' || other_start || '-' || other_end || ', ' || relation || ')' AS t
+            FROM lk WHERE relation IS NOT NULL) GROUP BY 1, 2),
+        pc AS (
+          SELECT run_id, chrom, std_type, cid,
+                 coalesce(string_agg(CASE WHEN pct = floor(pct) THEN CAST(CAST(pct AS BIGINT) AS VARCHAR) ELSE printf('%.2f', pct) END || '%', ', '
+                            ORDER BY start1, end1, load_seq, record_id) FILTER (joined), '') AS percentage_overlap
+          FROM chained GROUP BY 1, 2, 3, 4),
+        id AS (
+          SELECT run_id, chrom, std_type, cid,
+                 std_type || '_' || row_number() OVER (PARTITION BY run_id, std_type ORDER BY chrom, cluster_start, cid) AS event_id FROM wide)
+        SELECT ev.*, coalesce(tx.linked_event, '') AS linked_event, pc.percentage_overlap
+        FROM ev JOIN id USING (run_id, event_id) JOIN pc ON pc.run_id = id.run_id AND pc.chrom = id.chrom AND pc.std_type = id.std_type AND pc.cid = id.cid
+        LEFT JOIN tx ON tx.run_id = ev.run_id AND tx.event_id = ev.event_id""",
     "sv_flanks": f"""WITH fs AS (
           SELECT record_id AS row_id, chrom, least(coalesce(start_pos, 0), coalesce(end_pos, 0)) AS s,
                  greatest(coalesce(start_pos, 0), coalesce(end_pos, 0)) AS e FROM sv_records), {_FLANK}
@@ -329,7 +356,7 @@ SQL = {
           (SELECT round(depth, 4) FROM dp WHERE dp.row_id = c.record_id AND side = 'after') AS coverage_after_100bp
         FROM cl c""",
     "sv_caller_merge": f"""WITH cl AS (
-          SELECT run_id, trim(chrom) AS chrom, coalesce({_cascade_sql("NULL", "svtype", "'long'")}, '{DEFAULT}') AS std_type,
+          SELECT run_id, trim(chrom) AS chrom, coalesce({_cascade_sql("NULL", "svtype", "'long'")}, 'RPL') AS std_type,
                  least(start_pos, end_pos) AS start1, greatest(start_pos, end_pos) AS end1, caller, support_id AS record_id, 0 AS load_seq,
                  'x' AS source, 0 AS supporting_reads, 0 AS score, 0 AS svlen
           FROM caller_support WHERE end_pos IS NOT NULL AND abs(end_pos - start_pos) >= 30),

@@ -314,9 +314,17 @@ _FILES = """
   fn AS (SELECT support_id, base0 || ext AS file_name, base0 AS base FROM fb)"""
 
 
+_SAMPLE = r"^(.+?)([_.](S[0-9]+_L[0-9]+_)?(R[12]|[12]))?[.]f(ast)?q[.]gz$"
+# the patterns of pairs written out, without the operators' table
+_PAIRS = (
+    r"^(.+)_(R[12])_[0-9]+$", r"^(.+)_[0-9]+_([12])$", r"^(.+)_([12])_[0-9]+$", r"^(.+)_(R[12])_[A-Za-z0-9_]+$", r"^(.+)_([12])_[A-Za-z0-9_]+$",
+    r"^(.+)(R[12])_[A-Za-z0-9_]+$", r"^(.+)_(R[12])$", r"^(.+)_([12])$", r"^(.+)[.](R[12])$", r"^(.+)[.]([12])$", r"^(.+)(R[12])$",
+)
+
+
 def _pair_sql() -> str:
-    base = " ".join(f"WHEN regexp_matches(base, '^{p}') THEN regexp_extract(base, '^{p}', 1)" for p in names.PAIR_PATTERNS)
-    mate = " ".join(f"WHEN regexp_matches(base, '^{p}') THEN right(regexp_extract(base, '^{p}', 2), 1)" for p in names.PAIR_PATTERNS)
+    base = " ".join(f"WHEN regexp_matches(base, '{p}') THEN regexp_extract(base, '{p}', 1)" for p in _PAIRS)
+    mate = " ".join(f"WHEN regexp_matches(base, '{p}') THEN right(regexp_extract(base, '{p}', 2), 1)" for p in _PAIRS)
     return f"""{_FILES}, pr AS (
       SELECT support_id, CASE WHEN lower(file_name) LIKE '%.gz' OR lower(file_name) LIKE '%.gzip' THEN 'GZIP' ELSE 'NONE' END AS coding,
              'FASTQ' AS fmt, base, CASE {base} ELSE base END AS base_name, CAST(CASE {mate} ELSE '1' END AS BIGINT) AS read_number FROM fn),
@@ -387,7 +395,7 @@ SQL = {
         SELECT count(*) FILTER (level = 'error') = 0 AS passed, count(*) AS pairs_checked, count(*) FILTER (status = 'complete') AS complete_pairs,
                count(*) FILTER (status = 'missing_r1') AS missing_r1, count(*) FILTER (level = 'warning') AS warnings FROM pl""",
     "read_samples": f"""WITH {_FILES}, k AS (
-          SELECT file_name, regexp_extract(file_name, '{names.SAMPLE_PATTERN}', 1) AS sample FROM fn WHERE regexp_matches(file_name, '{names.SAMPLE_PATTERN}'))
+          SELECT file_name, regexp_extract(file_name, '{_SAMPLE}', 1) AS sample FROM fn WHERE regexp_matches(file_name, '{_SAMPLE}'))
         SELECT sample, count(*) AS n_files, string_agg(file_name, ',' ORDER BY file_name) AS files FROM k GROUP BY 1""",
     "read_multisets": f"""WITH {_SIDES},
         a AS (SELECT run_id, id, count(*) AS a FROM rf GROUP BY 1, 2), b AS (SELECT run_id, id, count(*) AS b FROM md GROUP BY 1, 2),

@@ -178,6 +178,16 @@ def test_percent_text(spark):
     assert [r[0] for r in d.select(format_percents(F.col("p"))).collect()] == ["50%, 48.98%, 100%", ""]
 
 
+def test_percent_rounding(spark):
+    rng = random.Random(9)
+    some = [0.125, 0.375, 2.675, 1.005, 95.625, 90.625, 99.995, 99.99999, 0.005, 0.004999, 33.0 / 7, 1e-9]
+    some += [rng.randint(0, 800) / 8 for _ in range(200)] + [rng.randint(0, 100_000) / 1000 for _ in range(2000)] + [rng.random() * 100 for _ in range(500)]
+    d = spark.createDataFrame([([x],) for x in some], "p array<double>").select("p", format_percents(F.col("p")).alias("t"))
+    for r in d.collect():
+        (x,) = r.p
+        assert r.t == (f"{x:.0f}%" if x == int(x) else f"{x:.2f}%"), x
+
+
 def test_union_sources(spark):
     a, b = spark.createDataFrame([(1,)], "x int"), spark.createDataFrame([("q",)], "y string")
     assert sorted(map(tuple, union_sources(("asm", a), ("short", b)).collect()), key=repr) == [(1, "asm", None), (None, "short", "q")]
