@@ -223,21 +223,33 @@ def anchor(records: dict[str, Column]) -> Column:
     )
 
 
+def _tiled(d: DataFrame, by: tuple[str, ...], tile_bits: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """``d`` with its tile, one row per tile with the number of events of its group and type before it, and the tile's keys.
+
+    A tile's row sorts before its events: it starts a base earlier.
+    """
+    tile = [*by, "std_type", "chrom", "_tile"]
+    d = d.withColumn("_tile", F.shiftright("cluster_start", tile_bits))
+    sizes = d.groupBy(*tile).agg(F.count(F.lit(1)).alias("_n"))
+    order = Window.partitionBy(*by, "std_type").orderBy("chrom", "_tile").rowsBetween(Window.unboundedPreceding, -1)
+    edge = F.shiftleft("_tile", tile_bits) - 1
+    offsets = sizes.select(
+        *tile, edge.alias("cluster_start"), edge.alias("cluster_end"), F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before")
+    )
+    return d, offsets, tile
+
+
+def _numbered(rows: DataFrame, offsets: DataFrame, tile: list[str]) -> DataFrame:
+    """``rows``, one or several per event, with ``event_id``; a tile's offset comes as a row, so they are shuffled once."""
+    both = rows.withColumn("_before", F.lit(None).cast("long")).unionByName(offsets, allowMissingColumns=True)
+    w = Window.partitionBy(*tile).orderBy("cluster_start", "cluster_end")
+    number = F.first("_before").over(w) + F.dense_rank().over(w) - 1
+    return both.withColumn("event_id", F.concat("std_type", F.lit("_"), number.cast("string"))).where("_before is null")
+
+
 def number_events(d: DataFrame, by: tuple[str, ...], tile_bits: int = TILE_BITS) -> DataFrame:
     """``event_id`` TYPE_n, counted per group and type in the order of chromosome and cluster start."""
-    g = [*by, "std_type"]
-    d = d.withColumn("_tile", F.shiftright("cluster_start", tile_bits))
-    sizes = d.groupBy(*g, "chrom", "_tile").agg(F.count(F.lit(1)).alias("_n"))
-    order = Window.partitionBy(*g).orderBy("chrom", "_tile").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*g, "chrom", "_tile", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"))
-    # a tile's offset comes as a row at its front, so the wide rows are shuffled once
-    first = offsets.withColumn("_offset", F.lit(True))
-    both = d.withColumn("_offset", F.lit(False)).unionByName(first, allowMissingColumns=True)
-    tile = Window.partitionBy(*g, "chrom", "_tile")
-    rank = F.row_number().over(tile.orderBy(F.desc("_offset"), "cluster_start", "cluster_end")) - 1
-    number = F.max("_before").over(tile) + rank
-    d = both.withColumn("event_id", F.concat("std_type", F.lit("_"), number.cast("string"))).where("not _offset")
-    return d.drop("_tile", "_before", "_offset")
+    return _numbered(*_tiled(d, by, tile_bits)).drop("_tile", "_before")
 
 
 def _source_columns(s: str, r: Column) -> list[Column]:
@@ -269,51 +281,62 @@ def _source_columns(s: str, r: Column) -> list[Column]:
     return out
 
 
-def event_spans(clustered: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """The events of chains with their ids and coordinates, and the best records' structs per source."""
-    d = number_events(clustered, by)
+def _located(clustered: DataFrame) -> DataFrame:
+    """Chains with the coordinates and the length of their events and the number of sources that support them."""
     spans = {s: F.struct(F.col(f"{s}.rec.svlen").alias("svlen"), (-F.col(f"{s}.rank.s")).alias("start1"), (-F.col(f"{s}.rank.e")).alias("end1")) for s in SOURCES}
-    d = d.withColumn("_a", anchor(spans))
+    d = clustered.withColumn("_a", anchor(spans))
     # without any length an insertion spans its cluster; other types always have one once cleaned
     lone = F.col("_a").isNull() & (F.col("std_type") != "INS")
-    return d.select(
-        *by,
-        "event_id",
-        "chrom",
-        F.col("std_type").alias("std_svtype"),
-        F.coalesce("_a.event_start", F.when(lone, F.col("last_start")).otherwise(F.col("cluster_start"))).alias("event_start"),
-        F.coalesce("_a.event_end", F.when(lone, F.col("first_end")).otherwise(F.col("cluster_end"))).alias("event_end"),
-        F.col("_a.event_length_bp").alias("event_length_bp"),
-        sum((F.col(s).isNotNull().cast("int") for s in SOURCES), F.lit(0)).alias("support_score"),
-        *(["steps"] if "steps" in clustered.columns else []),
-        *SOURCES,
-    )
+    return d.withColumns(
+        {
+            "event_start": F.coalesce("_a.event_start", F.when(lone, F.col("last_start")).otherwise(F.col("cluster_start"))),
+            "event_end": F.coalesce("_a.event_end", F.when(lone, F.col("first_end")).otherwise(F.col("cluster_end"))),
+            "event_length_bp": F.col("_a.event_length_bp"),
+            "support_score": sum((F.col(s).isNotNull().cast("int") for s in SOURCES), F.lit(0)),
+        }
+    ).drop("_a")
+
+
+_EVENT = ("event_start", "event_end", "event_length_bp", "support_score")
+
+
+def event_spans(clustered: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The events of chains with their ids and coordinates, without their records' fields."""
+    d = number_events(_located(clustered), by)
+    return d.select(*by, "event_id", "chrom", F.col("std_type").alias("std_svtype"), *_EVENT)
 
 
-def event_table(spans: DataFrame, calls: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+def event_table(clustered: DataFrame, calls: DataFrame, by: tuple[str, ...] = (), tile_bits: int = TILE_BITS) -> DataFrame:
     """The event rows in the order of the result tables' columns, after ``by``; see ``merge_events``.
 
-    The best records' other fields come from ``calls`` by record_id; of rows that share one, one is taken whole.
+    The best records' other fields come from ``calls`` by record_id; of rows that share one, one is taken whole. Then an
+    event's records meet in its tile, where it is numbered, too.
     """
+    d, offsets, tile = _tiled(_located(clustered), by, tile_bits)
     picks = F.filter(
         F.array(*(F.struct(F.lit(s).alias("_source"), F.col(f"{s}.rec.record_id").alias("_id"), (-F.col(f"{s}.rank.s")).alias("start1"), (-F.col(f"{s}.rank.e")).alias("end1"), F.col(f"{s}.rec.svlen").alias("svlen"), F.col(f"{s}.rec.supporting_reads").alias("supporting_reads"), F.col(s).isNotNull().alias("_any")) for s in SOURCES)),
         lambda x: x["_any"],
     )
-    keys = [*by, "event_id", "chrom", "std_svtype", "event_start", "event_end", "event_length_bp", "support_score"]
-    listed = ["steps"] if "steps" in spans.columns else []
-    rows = spans.select(*keys, *listed, F.inline_outer(picks))
+    keys = [*tile, "cluster_start", "cluster_end"]
+    carried = [*_EVENT, *(["steps"] if "steps" in clustered.columns else [])]
+    rows = d.select(*keys, *carried, F.inline_outer(picks)).drop("_any")
     # an event without a best record keeps apart from the others in the shuffle
-    rows = rows.withColumn("_k", F.coalesce("_id", F.xxhash64(*by, "event_id")))
+    rows = rows.withColumn("_k", F.coalesce("_id", F.xxhash64(*keys)))
     fields = calls.select(F.col("record_id").alias("_record"), *_PAYLOAD)
-    rows = rows.join(fields, (F.col("_k") == F.col("_record")) & F.col("_id").isNotNull(), "left")
+    rows = rows.join(fields, (F.col("_k") == F.col("_record")) & F.col("_id").isNotNull(), "left").drop("_k", "_id", "_record")
     whole = F.struct("start1", "end1", "svlen", "supporting_reads", *_PAYLOAD)
-    d = rows.groupBy(*keys).agg(
-        *(F.first(c).alias(c) for c in listed), *(F.max(F.when(F.col("_source") == s, whole)).alias(s) for s in SOURCES)
-    )
+    # the rows come in the order of these keys, so this neither shuffles nor sorts
+    d = _numbered(rows, offsets, tile).groupBy(*keys).agg(
+        *(F.first(c).alias(c) for c in ("event_id", *carried)), *(F.max(F.when(F.col("_source") == s, whole)).alias(s) for s in SOURCES)
+    )
     return d.select(
-        *keys[:-1],
+        *by,
+        "event_id",
+        "chrom",
+        F.col("std_type").alias("std_svtype"),
+        *_EVENT[:-1],
         *(c for s in SOURCES for c in _source_columns(s, F.col(s))),
-        *([step_percentages(F.col("steps")).alias("step_percentages")] if listed else []),
+        *([step_percentages(F.col("steps")).alias("step_percentages")] if "steps" in carried else []),
         "support_score",
     )
 
@@ -328,8 +351,7 @@ def merge_events(
     reports the least length. No calls, no events. ``steps``: with the list step_percentages. ``fields``: where the best
     records' other fields are read; for calls that took costly joins, the rows before them. Runs a job.
     """
-    spans = event_spans(clusters(calls, by, tol, seq, steps), by)
-    return event_table(spans, calls if fields is None else fields, by)
+    return event_table(clusters(calls, by, tol, seq, steps), calls if fields is None else fields, by)
 
 
 def link_events(events: DataFrame, by: tuple[str, ...] = (), tol: int = 0) -> DataFrame:

@@ -76,25 +76,36 @@ def _levels(d: DataFrame, other: DataFrame, keys: tuple[str, ...], side: str, ot
     return d.withColumn("_bin", F.explode(F.sequence(_shift(f"_s_{side}", "_level"), _shift(f"_e_{side}", "_level"))))
 
 
-def nearest_join(
-    left: DataFrame, right: DataFrame, keys: tuple[str, ...], left_id: str, left_on: str, right_on: str, value: str, tol: int
-) -> DataFrame:
-    """(left_id, nearest, value): for each left row the right row of equal keys nearest to it within ``tol``.
+def with_nearest(left: DataFrame, right: DataFrame, keys: tuple[str, ...], left_on: str, right_on: str, value: str, tol: int) -> DataFrame:
+    """``left`` with ``nearest``, a struct (d, at, value) of the right row of equal keys nearest to ``left_on`` within ``tol``.
 
-    At equal distance the smaller position wins. ``right`` must have at most one row per keys and position (aggregate
-    it before); left rows without a match are absent, as are null positions. Null keys match each other. Positions meet
-    in buckets of sixteen times ``tol + 1``; a left row enters those that its tolerance reaches, most often one.
+    At equal distance the smaller position wins. ``right`` must have at most one row per keys and position (aggregate it
+    before). Null without a match and for null positions. Null keys match each other.
+
+    Positions meet in buckets of sixteen times ``tol + 1``. A right row is entered into those that its tolerance reaches,
+    most often one, so that a left row asks a single bucket, which holds a bounded list of positions; ``left`` is shuffled
+    at most once and not at all if the lists are small enough to broadcast.
     """
     width = 16 * (tol + 1)
     bucket = lambda c: ((c - F.pmod(c, F.lit(width))) / width).cast("long")
-    a = left.select(*keys, F.col(left_id), F.col(left_on).cast("long").alias("_l")).where("_l is not null")
-    a = a.withColumn("_b", F.explode(F.array_distinct(F.array(bucket(F.col("_l") - tol), bucket(F.col("_l") + tol)))))
-    b = right.select(*(F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)), F.col(right_on).cast("long").alias("_p"), F.col(value))
-    b = b.where("_p is not null").withColumn("_rb", bucket(F.col("_p")))
+    b = right.select(*(F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)), F.col(right_on).cast("long").alias("at"), F.col(value).alias("value"))
+    b = b.where("at is not null").withColumn("_rb", F.explode(F.array_distinct(F.array(bucket(F.col("at") - tol), bucket(F.col("at") + tol)))))
+    b = b.groupBy(*(f"_r{i}" for i in range(len(keys))), "_rb").agg(F.collect_list(F.struct("at", "value")).alias("_list"))
+    p = F.col(left_on).cast("long")
+    a = left.withColumn("_b", F.coalesce(bucket(p), F.lit(0)))
     on = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)] + [F.col("_b") == F.col("_rb")]
-    near = a.join(b, on).where(F.abs(F.col("_l") - F.col("_p")) <= tol)
-    best = F.min(F.struct(F.abs(F.col("_l") - F.col("_p")).alias("d"), F.col("_p").alias("nearest"), F.col(value)))
-    return near.groupBy(left_id).agg(best.alias("_m")).select(left_id, "_m.nearest", f"_m.{value}")
+    d = a.join(b, on, "left").drop("_b", "_rb", *(f"_r{i}" for i in range(len(keys))))
+    far = lambda x: F.abs(x["at"] - p)
+    best = F.array_min(F.transform(F.filter("_list", lambda x: far(x) <= tol), lambda x: F.struct(far(x).alias("d"), x["at"].alias("at"), x["value"].alias("value"))))
+    return d.withColumn("nearest", best).drop("_list")
+
+
+def nearest_join(
+    left: DataFrame, right: DataFrame, keys: tuple[str, ...], left_id: str, left_on: str, right_on: str, value: str, tol: int
+) -> DataFrame:
+    """(left_id, nearest, value) of the left rows that have a match; see ``with_nearest``."""
+    d = with_nearest(left.select(*keys, left_id, left_on), right, keys, left_on, right_on, value, tol)
+    return d.where("nearest is not null").select(left_id, F.col("nearest.at").alias("nearest"), F.col("nearest.value").alias(value))
 
 
 def support_totals(support: DataFrame, keys: tuple[str, ...], position: str, reads: str) -> DataFrame:
@@ -111,16 +122,12 @@ def resolve_support(calls: DataFrame, support: DataFrame, keys: tuple[str, ...],
 
     ``support`` has the keys, ``position`` and ``supporting_reads``. The nearest position is chosen first; it changes
     the record only if its reads exceed 0, so a nearer position without reads hides a farther one with some.
-    ``record_id`` must be unique.
+    Rows that repeat a ``record_id`` are resolved each.
     """
-    totals = support_totals(support, keys, position, "supporting_reads").withColumnRenamed("supporting_reads", "_reads")
-    long = calls.where(F.col("source").startswith("long"))
-    found = nearest_join(long, totals, keys, record_id, position, position, "_reads", tol)
-    found = found.select(F.col(record_id).alias("_id"), "_reads")
-    joined = calls.join(found, F.col(record_id) == F.col("_id"), "left")
-    return joined.withColumn(
-        "supporting_reads", F.when(F.col("_reads") > 0, F.col("_reads")).otherwise(F.col("supporting_reads"))
-    ).drop("_id", "_reads")
+    totals = support_totals(support, keys, position, "supporting_reads")
+    d = with_nearest(calls, totals, keys, position, position, "supporting_reads", tol)
+    found = F.when(F.col("source").startswith("long"), F.col("nearest.value"))
+    return d.withColumn("supporting_reads", F.when(found > 0, found).otherwise(F.col("supporting_reads"))).drop("nearest")
 
 
 def flanks(df: DataFrame, row_id: str, chrom: str, start: str, end: str, keep: tuple[str, ...] = (), width: int = 100) -> DataFrame:
