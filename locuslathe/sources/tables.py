@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,15 +18,66 @@ def _strings(columns: tuple[str, ...]) -> str:
     return ", ".join(f"`{c}` string" for c in columns)
 
 
+def _files(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The files under paths, folders and globs, sorted; hidden ones are left out."""
+    jvm, conf, out = spark._jvm, spark._jsc.hadoopConfiguration(), []
+    for p in [paths] if isinstance(paths, str) else paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        for s in fs.globStatus(path) or []:
+            inner = fs.listStatus(s.getPath()) if s.isDirectory() else [s]
+            out += [x.getPath().toString() for x in inner if x.isFile() and x.getPath().getName()[0] not in "._"]
+    return sorted(out)
+
+
+def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The columns that a file's first line names; none for an empty or unreadable file."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        stream = p.getFileSystem(conf).open(p)
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        line = reader.readLine()
+        reader.close()
+    except Py4JJavaError:
+        return ()
+    return next(csv.reader([line], delimiter="\t"), ()) if line else ()
+
+
+def _by_name(spark: SparkSession, files: list[str]) -> list[tuple[list[str], DataFrame]]:
+    """(columns, rows) of the files of each header; a header is read once per file, the rows of alike ones together."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in files:
+        if header := tuple(_header(spark, f)):
+            groups.setdefault(header, []).append(f)
+    read = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
+    out = []
+    for header, own in groups.items():
+        place = [f"_c{i}" for i in range(len(header))]  # names may repeat or clash
+        d = read.csv(own, sep="\t", header=True, quote='"', escape='"', enforceSchema=True, schema=_strings(place))
+        first: dict[str, str] = {}
+        for p, name in zip(place, header, strict=True):
+            first.setdefault(name, p)
+        out.append((list(first), d.select(*(F.col(p).alias(n) for n, p in first.items()), F.col("_metadata.file_name").alias("_file"))))
+    return out
+
+
 def read_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All columns as text under the names of the header; lines that start with ``#`` are left out.
 
-    A header that itself starts with ``#chrom`` is one, not a comment. A ``#`` inside a line is text.
+    A header that itself starts with ``#chrom`` is one, not a comment. A ``#`` inside a line is text. A field that begins
+    with a double quote is unquoted, with a doubled quote in it standing for one. Of several files each is read by its
+    own header; a column that one lacks is null there, empty files have no rows. A name that a header has twice means
+    its first column.
     """
-    d = spark.read.csv(path, sep="\t", header=True, quote="", inferSchema=False)
-    first = d.columns[0]
-    d = d.where(~F.coalesce(F.col(f"`{first}`").startswith("#"), F.lit(False)))
-    return d.withColumnRenamed("#chrom", "chrom") if "chrom" not in d.columns else d
+    out = None
+    for columns, d in _by_name(spark, _files(spark, path)):
+        first = columns[0]
+        d = d.where(~F.coalesce(F.col(f"`{first}`").startswith("#"), F.lit(False))).drop("_file")
+        d = d.withColumnRenamed("#chrom", "chrom") if "chrom" not in columns else d
+        out = d if out is None else out.unionByName(d, allowMissingColumns=True)
+    return empty_table(spark) if out is None else out
 
 
 def read_calls(spark: SparkSession, path: str | list[str], source: str) -> DataFrame:
@@ -32,10 +86,16 @@ def read_calls(spark: SparkSession, path: str | list[str], source: str) -> DataF
 
 
 def read_support(spark: SparkSession, glob: str) -> DataFrame:
-    """The callers' support tables under a glob, one under the other; unreadable files are skipped."""
-    files = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
-    d = files.csv(glob, sep="\t", header=True, quote="", schema=_strings(SUPPORT_COLUMNS), enforceSchema=True)
-    return d.where("chrom is null or not startswith(chrom, '#')").withColumn("caller_file", F.col("_metadata.file_name"))
+    """The callers' support tables under a glob, one under the other; empty and unreadable files are skipped.
+
+    Columns are taken by their names, whatever their order; other columns are left out, and one that a file lacks is null.
+    """
+    out = spark.createDataFrame([], _strings((*SUPPORT_COLUMNS, "caller_file")))
+    for columns, d in _by_name(spark, _files(spark, glob)):
+        named = "chrom" if "chrom" in columns else "#chrom"
+        own = [F.col(f"`{named}`" if c == "chrom" else c).alias(c) if c in columns or (c == "chrom" and named in columns) else F.lit(None).cast("string").alias(c) for c in SUPPORT_COLUMNS]  # noqa: E501
+        out = out.union(d.select(*own, F.col("_file").alias("caller_file")))
+    return out.where("chrom is null or not startswith(chrom, '#')")
 
 
 def empty_table(spark: SparkSession, columns: tuple[str, ...] = EMPTY_COLUMNS) -> DataFrame:
@@ -44,10 +104,11 @@ def empty_table(spark: SparkSession, columns: tuple[str, ...] = EMPTY_COLUMNS) -
 
 
 def read_trace(spark: SparkSession, path: str) -> DataFrame:
+    """A task trace, by the names of its header."""
     return spark.read.csv(path, sep="\t", header=True, quote="", inferSchema=False)
 
 
-def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).select(F.col("value"), F.monotonically_increasing_id().alias("line_no"))
 
 
@@ -60,7 +121,7 @@ def parse_paf(lines: DataFrame) -> DataFrame:
 
 
 def read_paf(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return parse_paf(_lines(spark, path))
+    return parse_paf(numbered_lines(spark, path))
 
 
 def parse_sam(lines: DataFrame) -> DataFrame:
@@ -77,4 +138,4 @@ def parse_sam(lines: DataFrame) -> DataFrame:
 
 
 def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return parse_sam(_lines(spark, path))
+    return parse_sam(numbered_lines(spark, path))

@@ -90,6 +90,23 @@ def test_tables(spark, tmp_path):
     assert [(r.read_id, r.chrom, r.a_beg0, r.a_end0) for r in sam] == [("r", "c", 4, 15), ("u", None, -1, -1)]
 
 
+def test_tables_by_name_and_quoted(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text('chrom\tstart\tend\tsvtype\tx\n"chr 1"\t1\t2\tDEL\t"a\tb ""c"""\nc2\t3\t4\tINS\t5" y\n')
+    (tmp_path / "b.tsv").write_text("svtype\t#chrom\tend\nDUP\tc3\t9\n")
+    (tmp_path / "c.tsv").write_text("")
+    with gzip.open(tmp_path / "d.tsv.gz", "wt") as g:
+        g.write("end\tchrom\n7\tc4\n")
+    d = T.read_tsv(spark, str(tmp_path / "*.tsv*"))
+    got = {r.chrom: (r.start, r.end, r.svtype, r.x) for r in d.collect()}
+    assert got == {"chr 1": ("1", "2", "DEL", 'a\tb "c"'), "c2": ("3", "4", "INS", '5" y'), "c3": (None, "9", "DUP", None), "c4": (None, "7", None, None)}
+    assert T.read_tsv(spark, str(tmp_path / "c.tsv")).count() == 0
+    (tmp_path / "p_supporting_reads.tsv").write_text("supporting_reads\tsvtype\tend\tstart\tchrom\tmore\n5\tDEL\t2\t1\tc\tz\n")
+    (tmp_path / "q_supporting_reads.tsv").write_text("#chrom\tstart\tend\tsvtype\n# note\nd\t1\t2\tINS\n")
+    rows = T.read_support(spark, str(tmp_path / "*_supporting_reads.tsv")).collect()
+    assert sorted(tuple(r) for r in rows) == [("c", "1", "2", "DEL", "5", "p_supporting_reads.tsv"), ("d", "1", "2", "INS", None, "q_supporting_reads.tsv")]
+    assert T.read_support(spark, str(tmp_path / "none*")).count() == 0
+
+
 def test_vcf(spark):
     lines = ["#CHROM\tx", "c\t5\tid1\tA\t<DEL>\t50\tPASS\tEND=9;SVTYPE=DEL;SVLEN=-4;PE=7;CHR2=d;RE=3;SUPP=2;StartB=1;EndB=2;FLAG\tGT:RDCN\t0/1:2", "c\t6\tid2\tA\tG\t.\tPASS\t.", "bad"]
     v = vcf.parse_vcf(spark.createDataFrame([(x,) for x in lines], "value string"))
