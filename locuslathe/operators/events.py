@@ -28,13 +28,13 @@ TILE_BITS = 20
 SOURCES = ("asm", "long_ont", "long_pacbio", "short")
 #: Fields of the best records that no step before the last one needs.
 _PAYLOAD = (
-    "raw_svtype", "info_svtype", "score", "copy_number", "chr2", "pos2", "supporting_methods", "start_mod", "end_mod",
+    "svlen", "raw_svtype", "info_svtype", "score", "copy_number", "chr2", "pos2", "supporting_methods", "start_mod", "end_mod",
     "coverage_before_100bp", "coverage_after_100bp",
 )
 
 
 def best_rank(seq: Column) -> Column:
-    """A struct whose maximum is the best record: most reads, highest score, least |svlen|, then first in the chain.
+    """A struct whose maximum is the best record of one interval: most reads, highest score, least |svlen|, then first.
 
     A null counts as -1 in each of the three. For the length that means a record without one beats any that has one.
     """
@@ -42,31 +42,53 @@ def best_rank(seq: Column) -> Column:
         F.coalesce(F.col("supporting_reads"), F.lit(-1)).alias("reads"),
         F.coalesce(F.col("score"), F.lit(-1.0)).alias("score"),
         (-F.coalesce(F.abs("svlen"), F.lit(-1))).alias("len"),
-        (-F.col("start1")).alias("s"), (-F.col("end1")).alias("e"), (-seq).alias("q"),
+        (-seq).alias("q"),
     )
 
 
 def distinct_intervals(calls: DataFrame, by: tuple[str, ...], seq: Column) -> DataFrame:
-    """One row per distinct interval of a group: copies and, per source, the best record's rank, id, reads and length."""
-    keys = [*by, "chrom", "std_type", "start1", "end1"]
-    best = F.struct(best_rank(seq).alias("rank"), F.struct("record_id", "supporting_reads", "svlen").alias("rec"))
-    return calls.groupBy(*keys).agg(
+    """One row per distinct interval of a group: copies and, per source, the best record's rank, id and reads."""
+    keys = ["start1", "end1", *by, "chrom", "std_type"]  # a number first, as rows are sorted by their first bytes
+    best = F.struct(best_rank(seq).alias("rank"), F.struct("record_id", "supporting_reads").alias("rec"))
+    d = calls.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), *(F.max(F.when(F.col("source") == s, best)).alias(s) for s in SOURCES)
     )
+    return d.select(*by, "chrom", "std_type", "start1", "end1", "n", *SOURCES)
+
+
+def _chain_rank(s: str) -> Column:
+    """The rank among the best records of a chain's intervals: of equal ones the first in chain order."""
+    r = F.col(s)["rank"]
+    rank = F.struct(
+        r["reads"].alias("reads"), r["score"].alias("score"), r["len"].alias("len"), (-F.col("start1")).alias("s"), (-F.col("end1")).alias("e"), r["q"].alias("q")
+    )
+    return F.when(F.col(s).isNotNull(), F.struct(rank.alias("rank"), F.col(s)["rec"].alias("rec")))
+
+
+def _of_best(s: str) -> tuple[Column, Column, Column]:
+    """|svlen|, start and end of a source's best record, as its rank tells them."""
+    r = F.col(s)["rank"]
+    return F.when(r["len"] != 1, -r["len"]), -r["s"], -r["e"]
 
 
 _HERE = ("start1", "end1")
 
 
+def _cell(*keys: str) -> Column:
+    """A number for the keys of a group; leading them, it spares sorts the comparison of texts that begin alike."""
+    return F.hash(*keys)
+
+
 def _walk(intervals: DataFrame, by: tuple[str, ...], tol: int, tile_bits: int) -> DataFrame:
     """``intervals`` with ``_tile``, ``_head`` and ``step_percent`` from the walk through each tile by itself.
 
     ``_head`` is null for the rows before the tile's first break, whose chain may come from a tile before.
     """
     g = [*by, "chrom", "std_type"]
-    tile = Window.partitionBy(*g, "_tile").orderBy(*_HERE)
+    tile = Window.partitionBy("_cell", *g, "_tile").orderBy(*_HERE)
     here = F.struct(F.col("start1").alias("s"), F.col("end1").alias("e"))
     d = intervals.withColumn("_tile", F.shiftright("start1", tile_bits))
+    d = d.withColumn("_cell", _cell(*g, "_tile"))
     d = d.withColumns({"_prev": F.lag(here).over(tile), "_last": F.lead(F.lit(True)).over(tile).isNull()})
     p = (F.col("_prev.s"), F.col("_prev.e"), F.col("start1"), F.col("end1"))
     d = d.withColumn("_joined", F.when(F.col("_prev").isNotNull(), near_overlap(*p, tol)))
@@ -105,11 +127,11 @@ def chain_heads(intervals: DataFrame, by: tuple[str, ...], tol: int, tile_bits:
     d = _walk(intervals, by, tol, tile_bits)
     tiles = d.groupBy(*g, "_tile").agg(F.min(here).alias("_first"), F.max(here).alias("_end"), F.max("_head").alias("_max_head"))
     d = _join_small(d, _carried(tiles, by, tol), [*g, "_tile"])
-    tile = Window.partitionBy(*g, "_tile").orderBy(*_HERE)
+    tile = Window.partitionBy("_cell", *g, "_tile").orderBy(*_HERE)
     percent = F.when(F.row_number().over(tile) == 1, F.col("_open_percent")).otherwise(F.col("step_percent"))
     head = F.coalesce("_head", "_open_head")
     return d.withColumns({"head_start": head["s"], "head_end": head["e"], "step_percent": percent}).drop(
-        "_tile", "_last", "_head", "_open_head", "_open_percent"
+        "_cell", "_tile", "_last", "_head", "_open_head", "_open_percent"
     )
 
 
@@ -134,7 +156,7 @@ def clusters(
     q = F.col("seq") if seq is None else seq
     d = _walk(distinct_intervals(calls, by, q), by, tol, tile_bits)
     listed = [F.collect_list(F.struct("start1", "end1", "step_percent", "n")).alias("steps")] if steps else []
-    parts = d.groupBy(*g, "_tile", "_head").agg(
+    parts = d.groupBy("_cell", *g, "_tile", "_head").agg(
         F.min("start1").alias("cluster_start"),
         F.max("end1").alias("cluster_end"),
         F.max("start1").alias("last_start"),
@@ -145,10 +167,10 @@ def clusters(
         F.max(here).alias("_end"),
         F.max("_last").alias("_last"),
         *listed,
-        *(F.max(s).alias(s) for s in SOURCES),
+        *(F.max(_chain_rank(s)).alias(s) for s in SOURCES),
     )
     parts = write_through(parts)
-    tiles = parts.groupBy(*g, "_tile").agg(
+    tiles = parts.groupBy("_cell", *g, "_tile").agg(
         F.min("_first").alias("_first"), F.max("_end").alias("_end"), F.max("_head").alias("_max_head")
     )
     carried = _carried(tiles, by, tol)
@@ -228,8 +250,8 @@ def _tiled(d: DataFrame, by: tuple[str, ...], tile_bits: int) -> tuple[DataFrame
 
     A tile's row sorts before its events: it starts a base earlier.
     """
-    tile = [*by, "std_type", "chrom", "_tile"]
-    d = d.withColumn("_tile", F.shiftright("cluster_start", tile_bits))
+    tile = ["_cell", *by, "std_type", "chrom", "_tile"]
+    d = d.withColumn("_tile", F.shiftright("cluster_start", tile_bits)).withColumn("_cell", _cell(*tile[1:]))
     sizes = d.groupBy(*tile).agg(F.count(F.lit(1)).alias("_n"))
     order = Window.partitionBy(*by, "std_type").orderBy("chrom", "_tile").rowsBetween(Window.unboundedPreceding, -1)
     edge = F.shiftleft("_tile", tile_bits) - 1
@@ -249,7 +271,7 @@ def _numbered(rows: DataFrame, offsets: DataFrame, tile: list[str]) -> DataFrame
 
 def number_events(d: DataFrame, by: tuple[str, ...], tile_bits: int = TILE_BITS) -> DataFrame:
     """``event_id`` TYPE_n, counted per group and type in the order of chromosome and cluster start."""
-    return _numbered(*_tiled(d, by, tile_bits)).drop("_tile", "_before")
+    return _numbered(*_tiled(d, by, tile_bits)).drop("_cell", "_tile", "_before")
 
 
 def _source_columns(s: str, r: Column) -> list[Column]:
@@ -283,7 +305,7 @@ def _source_columns(s: str, r: Column) -> list[Column]:
 
 def _located(clustered: DataFrame) -> DataFrame:
     """Chains with the coordinates and the length of their events and the number of sources that support them."""
-    spans = {s: F.struct(F.col(f"{s}.rec.svlen").alias("svlen"), (-F.col(f"{s}.rank.s")).alias("start1"), (-F.col(f"{s}.rank.e")).alias("end1")) for s in SOURCES}
+    spans = {s: F.struct(*(c.alias(n) for c, n in zip(_of_best(s), ("svlen", "start1", "end1"), strict=True))) for s in SOURCES}
     d = clustered.withColumn("_a", anchor(spans))
     # without any length an insertion spans its cluster; other types always have one once cleaned
     lone = F.col("_a").isNull() & (F.col("std_type") != "INS")
@@ -313,10 +335,11 @@ def event_table(clustered: DataFrame, calls: DataFrame, by: tuple[str, ...] = ()
     event's records meet in its tile, where it is numbered, too.
     """
     d, offsets, tile = _tiled(_located(clustered), by, tile_bits)
-    picks = F.filter(
-        F.array(*(F.struct(F.lit(s).alias("_source"), F.col(f"{s}.rec.record_id").alias("_id"), (-F.col(f"{s}.rank.s")).alias("start1"), (-F.col(f"{s}.rank.e")).alias("end1"), F.col(f"{s}.rec.svlen").alias("svlen"), F.col(f"{s}.rec.supporting_reads").alias("supporting_reads"), F.col(s).isNotNull().alias("_any")) for s in SOURCES)),
-        lambda x: x["_any"],
-    )
+    def pick(s: str) -> Column:
+        own = zip(_of_best(s)[1:], ("start1", "end1"), strict=True)
+        return F.struct(F.lit(s).alias("_source"), F.col(f"{s}.rec.record_id").alias("_id"), F.col(f"{s}.rec.supporting_reads").alias("supporting_reads"), *(c.alias(n) for c, n in own), F.col(s).isNotNull().alias("_any"))
+
+    picks = F.filter(F.array(*(pick(s) for s in SOURCES)), lambda x: x["_any"])
     keys = [*tile, "cluster_start", "cluster_end"]
     carried = [*_EVENT, *(["steps"] if "steps" in clustered.columns else [])]
     rows = d.select(*keys, *carried, F.inline_outer(picks)).drop("_any")
@@ -324,7 +347,7 @@ def event_table(clustered: DataFrame, calls: DataFrame, by: tuple[str, ...] = ()
     rows = rows.withColumn("_k", F.coalesce("_id", F.xxhash64(*keys)))
     fields = calls.select(F.col("record_id").alias("_record"), *_PAYLOAD)
     rows = rows.join(fields, (F.col("_k") == F.col("_record")) & F.col("_id").isNotNull(), "left").drop("_k", "_id", "_record")
-    whole = F.struct("start1", "end1", "svlen", "supporting_reads", *_PAYLOAD)
+    whole = F.struct("start1", "end1", "supporting_reads", *_PAYLOAD)
     # the rows come in the order of these keys, so this neither shuffles nor sorts
     d = _numbered(rows, offsets, tile).groupBy(*keys).agg(
         *(F.first(c).alias(c) for c in ("event_id", *carried)), *(F.max(F.when(F.col("_source") == s, whole)).alias(s) for s in SOURCES)

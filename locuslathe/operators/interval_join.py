@@ -90,10 +90,11 @@ def with_nearest(left: DataFrame, right: DataFrame, keys: tuple[str, ...], left_
     bucket = lambda c: ((c - F.pmod(c, F.lit(width))) / width).cast("long")
     b = right.select(*(F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)), F.col(right_on).cast("long").alias("at"), F.col(value).alias("value"))
     b = b.where("at is not null").withColumn("_rb", F.explode(F.array_distinct(F.array(bucket(F.col("at") - tol), bucket(F.col("at") + tol)))))
-    b = b.groupBy(*(f"_r{i}" for i in range(len(keys))), "_rb").agg(F.collect_list(F.struct("at", "value")).alias("_list"))
+    b = b.groupBy("_rb", *(f"_r{i}" for i in range(len(keys)))).agg(F.collect_list(F.struct("at", "value")).alias("_list"))
     p = F.col(left_on).cast("long")
     a = left.withColumn("_b", F.coalesce(bucket(p), F.lit(0)))
-    on = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)] + [F.col("_b") == F.col("_rb")]
+    # a number leads the keys, so that sorts rarely compare texts
+    on = [F.col("_b") == F.col("_rb"), *(F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys))]
     d = a.join(b, on, "left").drop("_b", "_rb", *(f"_r{i}" for i in range(len(keys))))
     far = lambda x: F.abs(x["at"] - p)
     best = F.array_min(F.transform(F.filter("_list", lambda x: far(x) <= tol), lambda x: F.struct(far(x).alias("d"), x["at"].alias("at"), x["value"].alias("value"))))
