@@ -117,3 +117,8 @@ def union_sources(*tables: tuple[str, DataFrame]) -> DataFrame:
     if out is None:
         raise ValueError("no tables")
     return out
+
+
+def route(df: DataFrame, tags: tuple[str, ...], tag: str = "source") -> dict[str, DataFrame]:
+    """The rows of each tag by its name, without the tag; rows of other tags, or of none, are in no part."""
+    return {t: df.where(F.col(tag) == t).drop(tag) for t in tags}

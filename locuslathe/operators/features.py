@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,6 +15,31 @@ def coordinate_issues(df: DataFrame) -> DataFrame:
     return d.select("seqname", "start", "end", F.lit("WARNING").alias("level"), "message")
 
 
+def attribute(name: str) -> Column:
+    """The value of a GFF3 attribute, null if there is none."""
+    return F.nullif(F.regexp_extract("attributes", rf"(?:^|;)\s*{name}=([^;]*)", 1), F.lit(""))
+
+
+def fit_parents(df: DataFrame, levels: int = 3) -> DataFrame:
+    """Features whose start and end are those of all their children, from the innermost level outwards.
+
+    Children name their parents (several are separated by commas) in the attribute Parent, parents their ID, both within
+    a sequence. A feature without children, or without an ID, stays as it is. ``levels``: of parents above one another
+    (exons, transcripts, genes).
+    """
+    for _ in range(levels):
+        child = df.select(
+            F.col("seqname").alias("_q"), F.explode(F.split(attribute("Parent"), ",")).alias("_p"), F.col("start").alias("_s"), F.col("end").alias("_e")
+        )
+        span = child.groupBy("_q", "_p").agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"))
+        own = df.withColumn("_id", attribute("ID"))
+        on = (F.col("seqname") == F.col("_q")) & (F.col("_id") == F.col("_p"))
+        df = own.join(span, on, "left").withColumns(
+            {"start": F.coalesce("_s", "start"), "end": F.coalesce("_e", "end")}
+        ).drop("_id", "_q", "_p", "_s", "_e")
+    return df
+
+
 def sort_features(df: DataFrame) -> DataFrame:
     """In the order of sequence name, start and end, over range partitions."""
     return df.orderBy("seqname", "start", "end")

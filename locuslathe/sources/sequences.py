@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from locuslathe.operators.prefix import running_rank
@@ -51,22 +51,31 @@ def read_fastq(spark: SparkSession, path: str | list[str], trust: bool = False)
     d = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("mid"), F.regexp_replace("value", "\r$", "").alias("line")
     )
-    d = running_rank(d, ("file",), "mid", "no", _PARTITION_BITS)
+    if trust:  # each partition keeps but its first lines before they are ranked
+        first = F.row_number().over(Window.partitionBy("file").orderBy("mid"))
+        d = d.withColumn("no", first - 1).where(F.col("no") < 4 * TRUST_READS)
+    else:
+        d = running_rank(d, ("file",), "mid", "no", _PARTITION_BITS)
     d = d.withColumns({"read_idx": F.expr("no div 4"), "part": F.expr("no % 4")})
-    if trust:
-        d = d.where(F.col("read_idx") < TRUST_READS)
     pick = lambda k: F.max(F.when(F.col("part") == k, F.col("line")))
     d = d.groupBy("file", "read_idx").agg(pick(0).alias("h"), pick(1).alias("seq"), pick(3).alias("qual"))
     head = F.regexp_replace("h", "^@", "")
     return d.select("file", "read_idx", F.regexp_extract(head, r"^(\S*)", 1).alias("id"), head.alias("description"), "seq", "qual")
 
 
+def _line_no(lines: DataFrame) -> list[str]:
+    return ["line_no"] if "line_no" in lines.columns else []
+
+
 def parse_gff(lines: DataFrame) -> DataFrame:
-    """Features of (value): blank and ``#`` lines, lines without nine fields and unreadable coordinates are left out."""
+    """Features of (value): blank and ``#`` lines, lines without nine fields and unreadable coordinates are left out.
+
+    A ``line_no`` of the lines is kept.
+    """
     f = F.split("value", "\t", -1)
     names = ("seqname", "source", "feature_type", "start", "end", "score", "strand", "frame", "attributes")
     d = lines.where(~F.col("value").startswith("#") & (F.size(f) == 9))
-    d = d.select(*(F.trim(F.get(f, F.lit(i))).alias(n) for i, n in enumerate(names)))
+    d = d.select(*(F.trim(F.get(f, F.lit(i))).alias(n) for i, n in enumerate(names)), *_line_no(lines))
     return d.withColumns({c: F.col(c).try_cast("long") for c in ("start", "end")}).where("start is not null and end is not null")
 
 
@@ -75,7 +84,7 @@ def read_gff(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def parse_bed(lines: DataFrame) -> DataFrame:
-    """Features of (value) in 0-based half-open columns, given 1-based inclusive coordinates."""
+    """Features of (value) in 0-based half-open columns, given 1-based inclusive coordinates; ``line_no`` is kept."""
     f = F.split("value", "\t", -1)
     part = lambda i, d: F.coalesce(F.get(f, F.lit(i)), F.lit(d))
     d = lines.where(~F.col("value").rlike("^(#|track|browser)") & (F.size(f) >= 3))
@@ -83,7 +92,7 @@ def parse_bed(lines: DataFrame) -> DataFrame:
         part(0, "").alias("seqname"), F.lit("bed").alias("source"), F.lit("region").alias("feature_type"),
         (part(1, "").try_cast("long") + 1).alias("start"), part(2, "").try_cast("long").alias("end"),
         part(4, ".").alias("score"), part(5, ".").alias("strand"), F.lit(".").alias("frame"),
-        F.concat(F.lit("ID="), part(3, "region")).alias("attributes"),
+        F.concat(F.lit("ID="), part(3, "region")).alias("attributes"), *_line_no(lines),
     ).where("start is not null and end is not null")
 
 

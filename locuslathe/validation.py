@@ -7,7 +7,7 @@ from dataclasses import asdict, dataclass, fields, replace
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from locuslathe import errors as X
@@ -16,8 +16,10 @@ from locuslathe.operators import features as FT
 from locuslathe.operators import genomes as G
 from locuslathe.operators import reads as R
 from locuslathe.operators import sequences as S
+from locuslathe.sinks import files as K
 from locuslathe.sources import sequences as SRC
 from locuslathe.sources.config import InputFile
+from locuslathe.sources.tables import numbered_lines
 
 #: Features and reads that the trust level looks at.
 SAMPLE = 10
@@ -128,11 +130,47 @@ class BaseValidator(ABC):
     @abstractmethod
     def describe(self, rows: DataFrame) -> dict[str, Any]: ...
 
+    @abstractmethod
+    def write(self, result: Result, folder: Path) -> dict[str, Any]:
+        """Writes the outputs below ``folder``; what there is to know of them (output_file and the like)."""
+
+    #: the suffix of the output's format
+    extension: str
+
+    @property
+    def base(self) -> str:
+        """The input's name without its suffixes."""
+        return self.file.path.name.split(".", 1)[0] or self.file.path.name
+
+    def folder(self, out: Path) -> Path:
+        return out / self.settings.output_subdir_name if self.settings.output_subdir_name else out
+
+    def target(self, out: Path, base: str | None = None, tail: str = "") -> Path:
+        """``base[_suffix][tail].extension[.coding]`` in the folder of the settings."""
+        stem = "_".join(x for x in (base or self.base, self.settings.output_filename_suffix) if x)
+        return self.folder(out) / f"{stem}{tail}.{self.extension}{K.SUFFIXES[self.settings.coding_type]}"
+
+    def write_minimal(self, out: Path) -> dict[str, Any]:
+        """The file as it is, byte by byte."""
+        return self._copied(self.target(out), self.file.coding)
+
+    def _copied(self, target: Path, coding: str) -> dict[str, Any]:
+        K.copy_files(self.spark, [(str(self.file.path), str(target), self.file.coding, coding)])
+        return {"output_file": str(target), "output_filename": target.name}
+
     @property
     def level(self) -> str:
         return self.file.options.validation_level
 
-    def run(self, raise_on_error: bool = True) -> Result:
+    def run(self, raise_on_error: bool = True, out: str | Path | None = None) -> Result:
+        """Checks, edits and describes the file; with ``out`` its outputs are written below that folder, too."""
+        result = self._examine(raise_on_error)
+        if out is not None:
+            write = self.write_minimal(Path(out)) if result.data is None else self.write(result, Path(out))
+            result.metadata |= write | {"validation_level": self.level}
+        return result
+
+    def _examine(self, raise_on_error: bool) -> Result:
         if not Path(self.file.path).is_file():
             raise X.InputFileNotFoundError(str(self.file.path))
         if self.file.fmt not in self.formats:
@@ -154,6 +192,7 @@ class BaseValidator(ABC):
 
 
 class GenomeValidator(BaseValidator):
+    extension = "fasta"
     formats = ("FASTA", "GENBANK")
     error = X.GenomeValidationError
     settings: GenomeSettings
@@ -196,8 +235,34 @@ class GenomeValidator(BaseValidator):
     def describe(self, rows: DataFrame) -> dict[str, Any]:
         return S.sequence_stats(rows).head().asDict() | {"fragmented": self.fragmented(rows)}
 
+    def write(self, result: Result, folder: Path) -> dict[str, Any]:
+        s, codec = self.settings, K.CODECS[self.settings.coding_type]
+        save = lambda rows, target: K.as_file(lambda f: K.write_fasta(rows, f, codec), target)
+        out: dict[str, Any] = {"output_file": None, "output_filename": None}
+        if result.metadata["num_sequences"]:
+            target = self.target(folder)
+            out |= {"output_file": save(result.data, target), "output_filename": target.name}
+        plasmids = result.outputs.get("plasmids")
+        n = plasmids.count() if plasmids is not None else 0
+        if not n:
+            return out
+        infix = "" if s.is_plasmid and s.output_filename_suffix else "_plasmid"
+        if not s.is_plasmid:  # the longest first; they are few, as a genome of more sequences than its limit isn't edited
+            longest = Window.orderBy(F.length("seq").desc(), "seq_idx")
+            plasmids = plasmids.withColumn("seq_idx", F.row_number().over(longest).cast("long"))
+        if s.plasmid_split:
+            name = lambda i: self.target(folder, tail=f"{infix}{i}").name
+            targets = [Path(t) for t in K.write_each(plasmids, str(self.folder(folder)), name, s.coding_type)]
+        else:
+            targets = [self.target(folder, tail=infix)]
+            save(plasmids, targets[0])
+        if s.is_plasmid:  # the plasmids are what the file is about
+            out |= {"output_file": str(targets[0]), "output_filename": targets[0].name}
+        return out | {"plasmid_count": n, "plasmid_filenames": [t.name for t in targets]}
+
 
 class ReadValidator(BaseValidator):
+    extension = "fastq"
     formats = ("FASTQ", "BAM")
     error = X.ReadValidationError
     settings: ReadSettings
@@ -234,12 +299,37 @@ class ReadValidator(BaseValidator):
     def edit(self, rows: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
         return rows, {}
 
-    def describe(self, rows: DataFrame) -> dict[str, Any]:
+    def folder(self, out: Path) -> Path:
+        if self.settings.outdir_by_ngs_type and self.file.ngs_type:
+            return out / self.file.ngs_type
+        return super().folder(out)
+
+    def write(self, result: Result, folder: Path) -> dict[str, Any]:
+        """Nothing of a read is edited, so its file is copied in the coding asked for, alignments as they are."""
+        if self.file.fmt == "BAM":
+            return self.write_minimal(folder)
+        base = f"{result.metadata['base_name']}_R{result.metadata['read_number']}"
+        return self._copied(self.target(folder, base), self.settings.coding_type)
+
+    def write_minimal(self, out: Path) -> dict[str, Any]:
+        if self.file.fmt != "BAM":
+            pair = self._pair()
+            return self._copied(self.target(out, f"{pair['base_name']}_R{pair['read_number']}"), self.file.coding)
+        name, suffix = self.file.path.name, self.settings.output_filename_suffix
+        if suffix:
+            name = f"{self.base}_{suffix}{''.join(self.file.path.suffixes)}"
+        return self._copied(self.folder(out) / name, self.file.coding)
+
+    def _pair(self) -> dict[str, Any]:
+        """The name and the number of the mate that the file's name tells; only pairs of one platform are named so."""
         name = self.file.path.name.removesuffix(".gz").removesuffix(".bz2").rsplit(".", 1)[0]
-        pair = self.spark.createDataFrame([(name,)], "n string").select(read_pair(F.col("n")).alias("p")).head()["p"]
-        own = {"base_name": name, "read_number": 1, "illumina_pairing_detected": False, "ngs_type": self.file.ngs_type, "input_format": self.file.fmt}
-        if self.file.ngs_type == "illumina":
-            own |= {"base_name": pair["base_name"], "read_number": pair["read_number"], "illumina_pairing_detected": True}
+        if self.file.ngs_type != "illumina":
+            return {"base_name": name, "read_number": 1, "illumina_pairing_detected": False}
+        p = self.spark.createDataFrame([(name,)], "n string").select(read_pair(F.col("n")).alias("p")).head()["p"]
+        return {"base_name": p["base_name"], "read_number": p["read_number"], "illumina_pairing_detected": True}
+
+    def describe(self, rows: DataFrame) -> dict[str, Any]:
+        own = self._pair() | {"ngs_type": self.file.ngs_type, "input_format": self.file.fmt}
         if self.file.fmt == "BAM":
             return own | {"num_reads": None}
         stats = R.read_stats(self._checked(rows)).head().asDict()
@@ -248,17 +338,21 @@ class ReadValidator(BaseValidator):
 
 
 class FeatureValidator(BaseValidator):
+    extension = "gff"
     formats = ("GFF", "GTF", "BED")
     error = X.FeatureValidationError
     settings: FeatureSettings
 
     def read(self) -> DataFrame:
-        lines = self.spark.read.text(str(self.file.path))
+        lines = numbered_lines(self.spark, str(self.file.path))
         if self.file.fmt == "BED":
             rows = SRC.parse_bed(lines)
         else:
             rows = SRC.parse_gff(lines)
             rows = SRC.gtf_to_gff3(rows) if self.file.fmt == "GTF" else rows
+        rows = FT.fit_parents(rows)
+        if rows.isEmpty():  # what isn't written as its name says may still be lines of features
+            rows = SRC.parse_gff(lines)
         if rows.isEmpty():
             raise (X.BedFormatError if self.file.fmt == "BED" else X.GffFormatError)("No features found")
         return rows
@@ -266,9 +360,15 @@ class FeatureValidator(BaseValidator):
     def check(self, rows: DataFrame) -> DataFrame | None:
         if not self.settings.check_coordinates:
             return None
-        return FT.coordinate_issues(rows.limit(SAMPLE) if self.level == "trust" else rows)
+        return FT.coordinate_issues(rows.orderBy("line_no").limit(SAMPLE) if self.level == "trust" else rows)
+
+    def write(self, result: Result, folder: Path) -> dict[str, Any]:
+        target = self.target(folder)
+        K.as_file(lambda f: K.write_gff3(result.data, f, K.CODECS[self.settings.coding_type]), target)
+        return {"output_file": str(target), "output_filename": target.name}
 
     def edit(self, rows: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+        rows = rows if self.settings.sort_by_position else rows.orderBy("line_no")
         d = FT.rename_features(rows, self.settings.replace_id_with) if self.settings.replace_id_with else rows
         return (FT.sort_features(d) if self.settings.sort_by_position else d), {}
 
@@ -323,10 +423,9 @@ def check_genomes(ref: DataFrame, mod: DataFrame, same_number: bool = True, same
     if same_ids and (row["ref_only"] or row["mod_only"]):
         errors.append(f"Genome sequence ID mismatch: {row['ref_only']} only in the reference, {row['mod_only']} only in the modified genome")
     if same_lengths:
-        for r in compared.where("status = 'length_mismatch'").orderBy("id").limit(100).collect():
+        # a message for each, as the list is what the check is for
+        for r in compared.where("status = 'length_mismatch'").orderBy("id").toLocalIterator():
             errors.append(f"Sequence length mismatch for '{r['id']}': difference={r['difference']:+d}")
-        if row["length_mismatches"] > 100:
-            errors.append(f"and {row['length_mismatches'] - 100} more sequence length mismatches")
     return {"name": "genomes", "passed": row["passed"], "errors": errors, "warnings": [], "metadata": row}
 
 
@@ -345,6 +444,7 @@ def run_parameters(files: dict[str, Any], reads: list[dict[str, Any]], genomes_p
         "run_nanopore": has("ont", "FASTQ", "BAM"),
         "run_pacbio": has("pacbio", "FASTQ", "BAM"),
         "contig_file_size": len(files.get("contigs") or []),
+        "contig_files": list(files.get("contigs") or []),
         "ref_fasta": files.get("ref"),
         "mod_fasta": files.get("mod"),
         "ref_plasmid_fasta": files.get("ref_plasmid") or split("ref"),

@@ -234,8 +234,7 @@ def test_trusted_reads_are_all_kept(spark, tmp_path):
 def test_genomes_with_many_length_mismatches(spark):
     ref, mod = (spark.range(103).select(F.format_string("c%03d", "id").alias("id"), F.lit(s).alias("seq")) for s in ("ACG", "AC"))
     errors = V.check_genomes(ref, mod, True, True, True)["errors"]
-    assert len(errors) == 101 and errors[-1] == "and 3 more sequence length mismatches"
-    assert len(V.check_genomes(ref.limit(100), mod.limit(100), True, True, True)["errors"]) == 100
+    assert errors == [f"Sequence length mismatch for 'c{i:03d}': difference=-1" for i in range(103)]  # each of them
 
 
 def test_settings_and_parameters():
