@@ -28,7 +28,7 @@ TILE_BITS = 20
 SOURCES = ("asm", "long_ont", "long_pacbio", "short")
 #: Fields of the best records that no step before the last one needs.
 _PAYLOAD = (
-    "svlen", "raw_svtype", "info_svtype", "score", "copy_number", "chr2", "pos2", "supporting_methods", "start_mod", "end_mod",
+    "raw_svtype", "info_svtype", "score", "copy_number", "chr2", "pos2", "supporting_methods", "start_mod", "end_mod",
     "coverage_before_100bp", "coverage_after_100bp",
 )
 
@@ -213,36 +213,28 @@ def step_percentages(steps: Column) -> Column:
     return F.flatten(F.transform(steps, one))
 
 
-def anchor(records: dict[str, Column]) -> Column:
+def anchor(records: dict[str, Column | dict[str, Column]]) -> Column:
     """struct(event_length_bp, event_start, event_end) of the source that reports the least length; null without any.
 
     Of sources with equal least lengths, the one whose interval shares most bases with the other candidates, then the
-    first in the order of ``records``.
+    first in the order of ``records``. Sums and comparisons only, so that it is compiled with the rows' other expressions.
     """
-    cand = F.filter(
-        F.array(
-            *(
-                F.struct(F.abs(r["svlen"]).alias("len"), r["start1"].alias("s"), r["end1"].alias("e"), F.lit(-i).alias("order"))
-                for i, r in enumerate(records.values())
-            )
-        ),
-        lambda x: x["len"].isNotNull(),
-    )
-    least = F.array_min(F.transform(cand, lambda x: x["len"]))
-
-    def shared(x: Column) -> Column:
-        total = F.aggregate(
-            cand, F.lit(0).cast("long"),
-            lambda acc, o: acc + F.when(o["order"] == x["order"], F.lit(0)).otherwise(overlap_length(x["s"], x["e"], o["s"], o["e"])),
-        )
-        return F.struct(total.alias("shared"), x["order"].alias("order"), x["s"].alias("s"), x["e"].alias("e"))
-
-    tied = F.transform(F.filter(cand, lambda x: x["len"] == least), shared)
-    best = F.array_max(tied)
-    return F.when(
-        least.isNotNull(),
-        F.struct(least.alias("event_length_bp"), best["s"].alias("event_start"), best["e"].alias("event_end")),
-    )
+    names = list(records)
+    size = {s: F.abs(r["svlen"]) for s, r in records.items()}
+    span = {s: (r["start1"], r["end1"]) for s, r in records.items()}
+    least = F.least(*size.values())
+
+    def shared(s: str) -> Column:
+        both = lambda o: F.when(size[o].isNotNull(), overlap_length(*span[s], *span[o])).otherwise(F.lit(0))
+        return sum((both(o) for o in names if o != s), F.lit(0).cast("long"))
+
+    score = {s: F.when(size[s] == least, shared(s)) for s in names}
+    top = F.greatest(*score.values())
+    best = F.lit(None).cast("struct<event_length_bp:bigint,event_start:bigint,event_end:bigint>")
+    for s in reversed(names):
+        own = F.struct(size[s].alias("event_length_bp"), span[s][0].alias("event_start"), span[s][1].alias("event_end"))
+        best = F.when(score[s] == top, own).otherwise(best)
+    return best
 
 
 def _tiled(d: DataFrame, by: tuple[str, ...], tile_bits: int) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -305,8 +297,10 @@ def _source_columns(s: str, r: Column) -> list[Column]:
 
 def _located(clustered: DataFrame) -> DataFrame:
     """Chains with the coordinates and the length of their events and the number of sources that support them."""
-    spans = {s: F.struct(*(c.alias(n) for c, n in zip(_of_best(s), ("svlen", "start1", "end1"), strict=True))) for s in SOURCES}
-    d = clustered.withColumn("_a", anchor(spans))
+    fields = {f"_{n}_{s}": c for s in SOURCES for n, c in zip(("svlen", "start1", "end1"), _of_best(s), strict=True)}
+    d = clustered.withColumns(fields)
+    spans = {s: {n: F.col(f"_{n}_{s}") for n in ("svlen", "start1", "end1")} for s in SOURCES}
+    d = d.withColumn("_a", anchor(spans)).drop(*fields)
     # without any length an insertion spans its cluster; other types always have one once cleaned
     lone = F.col("_a").isNull() & (F.col("std_type") != "INS")
     return d.withColumns(
@@ -336,21 +330,24 @@ def event_table(clustered: DataFrame, calls: DataFrame, by: tuple[str, ...] = ()
     """
     d, offsets, tile = _tiled(_located(clustered), by, tile_bits)
     def pick(s: str) -> Column:
-        own = zip(_of_best(s)[1:], ("start1", "end1"), strict=True)
-        return F.struct(F.lit(s).alias("_source"), F.col(f"{s}.rec.record_id").alias("_id"), F.col(f"{s}.rec.supporting_reads").alias("supporting_reads"), *(c.alias(n) for c, n in own), F.col(s).isNotNull().alias("_any"))
+        own = zip(_of_best(s), ("svlen", "start1", "end1"), strict=True)
+        there = F.col(s).isNotNull()
+        if s == SOURCES[0]:  # an event without a best record stays, by this row
+            there = there | (F.col("support_score") == 0)
+        return F.struct(F.lit(s).alias("_source"), F.col(f"{s}.rec.record_id").alias("_id"), F.col(f"{s}.rec.supporting_reads").alias("supporting_reads"), *(c.alias(n) for c, n in own), there.alias("_there"))
 
-    picks = F.filter(F.array(*(pick(s) for s in SOURCES)), lambda x: x["_any"])
+    picks = F.array(*(pick(s) for s in SOURCES))
     keys = [*tile, "cluster_start", "cluster_end"]
     carried = [*_EVENT, *(["steps"] if "steps" in clustered.columns else [])]
-    rows = d.select(*keys, *carried, F.inline_outer(picks)).drop("_any")
-    # an event without a best record keeps apart from the others in the shuffle
+    rows = d.select(*keys, *carried, F.inline(picks)).where("_there").drop("_there")
+    # rows without a record keep apart in the shuffle
     rows = rows.withColumn("_k", F.coalesce("_id", F.xxhash64(*keys)))
     fields = calls.select(F.col("record_id").alias("_record"), *_PAYLOAD)
     rows = rows.join(fields, (F.col("_k") == F.col("_record")) & F.col("_id").isNotNull(), "left").drop("_k", "_id", "_record")
-    whole = F.struct("start1", "end1", "supporting_reads", *_PAYLOAD)
+    whole = F.struct("start1", "end1", "svlen", "supporting_reads", *_PAYLOAD)
     # the rows come in the order of these keys, so this neither shuffles nor sorts
     d = _numbered(rows, offsets, tile).groupBy(*keys).agg(
-        *(F.first(c).alias(c) for c in ("event_id", *carried)), *(F.max(F.when(F.col("_source") == s, whole)).alias(s) for s in SOURCES)
+        *(F.first(c).alias(c) for c in ("event_id", *carried)), *(F.max(F.when((F.col("_source") == s) & F.col("start1").isNotNull(), whole)).alias(s) for s in SOURCES)
     )
     return d.select(
         *by,

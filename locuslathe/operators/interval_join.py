@@ -76,11 +76,13 @@ def _levels(d: DataFrame, other: DataFrame, keys: tuple[str, ...], side: str, ot
     return d.withColumn("_bin", F.explode(F.sequence(_shift(f"_s_{side}", "_level"), _shift(f"_e_{side}", "_level"))))
 
 
-def with_nearest(left: DataFrame, right: DataFrame, keys: tuple[str, ...], left_on: str, right_on: str, value: str, tol: int) -> DataFrame:
+def with_nearest(
+    left: DataFrame, right: DataFrame, keys: tuple[str, ...], left_on: str, right_on: str, value: str, tol: int, only: Column | None = None
+) -> DataFrame:
     """``left`` with ``nearest``, a struct (d, at, value) of the right row of equal keys nearest to ``left_on`` within ``tol``.
 
     At equal distance the smaller position wins. ``right`` must have at most one row per keys and position (aggregate it
-    before). Null without a match and for null positions. Null keys match each other.
+    before). Null without a match, for null positions and where ``only`` isn't true. Null keys match each other.
 
     Positions meet in buckets of sixteen times ``tol + 1``. A right row is entered into those that its tolerance reaches,
     most often one, so that a left row asks a single bucket, which holds a bounded list of positions; ``left`` is shuffled
@@ -98,7 +100,8 @@ def with_nearest(left: DataFrame, right: DataFrame, keys: tuple[str, ...], left_
     d = a.join(b, on, "left").drop("_b", "_rb", *(f"_r{i}" for i in range(len(keys))))
     far = lambda x: F.abs(x["at"] - p)
     best = F.array_min(F.transform(F.filter("_list", lambda x: far(x) <= tol), lambda x: F.struct(far(x).alias("d"), x["at"].alias("at"), x["value"].alias("value"))))
-    return d.withColumn("nearest", best).drop("_list")
+    asked = F.col("_list").isNotNull() if only is None else F.col("_list").isNotNull() & only
+    return d.withColumn("nearest", F.when(asked, best)).drop("_list")
 
 
 def nearest_join(
@@ -126,8 +129,8 @@ def resolve_support(calls: DataFrame, support: DataFrame, keys: tuple[str, ...],
     Rows that repeat a ``record_id`` are resolved each.
     """
     totals = support_totals(support, keys, position, "supporting_reads")
-    d = with_nearest(calls, totals, keys, position, position, "supporting_reads", tol)
-    found = F.when(F.col("source").startswith("long"), F.col("nearest.value"))
+    d = with_nearest(calls, totals, keys, position, position, "supporting_reads", tol, F.col("source").startswith("long"))
+    found = F.col("nearest.value")
     return d.withColumn("supporting_reads", F.when(found > 0, found).otherwise(F.col("supporting_reads"))).drop("nearest")
 
 

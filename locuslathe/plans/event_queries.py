@@ -73,7 +73,7 @@ def sv_best_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf: str, steps: bool) -> DataFrame:
-    return E.merge_events(_resolved(spark, sf), RUN, 10, F.col("load_seq"), steps, C.good_calls(_cleaned(spark, sf)))
+    return E.merge_events(_resolved(spark, sf), RUN, 10, F.col("load_seq"), steps, _cleaned(spark, sf))
 
 
 def _spans(spark: SparkSession, sf: str) -> DataFrame:
