@@ -62,16 +62,26 @@ def write_through(df: DataFrame) -> DataFrame:
     by ``release``, at the end of the ``temporary_tables`` around, or when the Python process ends.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    path = _own(spark)
     df.write.parquet(path)
-    if not _TABLES:
-        atexit.register(_remove_all)
-    _TABLES[path] = spark
     out = spark.read.schema(df.schema).parquet(path)
     out._locuslathe_table = path
     return out
 
 
+def _own(spark: SparkSession) -> str:
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    if not _TABLES:
+        atexit.register(_remove_all)
+    _TABLES[path] = spark
+    return path
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new place in the checkpoint folder for files; it goes as the tables of ``write_through`` do."""
+    return _own(spark)
+
+
 def release(*tables: DataFrame | None) -> None:
     """Remove what ``write_through`` wrote for these; nothing may read them any more. Others are left alone."""
     for t in tables:

@@ -5,7 +5,7 @@ import importlib
 from pathlib import Path
 
 import __spark_entry__ as entry
-from locuslathe.plans import event_queries, general, record_queries
+from locuslathe.plans import event_queries, file_queries, general, record_queries
 
 ROOT = Path(entry.__file__).parent
 
@@ -19,7 +19,7 @@ def test_names():
     q, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(q) and len(q) > 50
     assert {"p1_found", "p3_found", "p5_found"} <= set(q)
-    own = [m.QUERIES for m in (general, event_queries, record_queries)]
+    own = [m.QUERIES for m in (general, event_queries, record_queries, file_queries)]
     assert sum(map(len, own)) == len({k for m in own for k in m})
 
 
