@@ -59,16 +59,29 @@ def write_through(df: DataFrame) -> DataFrame:
     """``df`` written as a Parquet table in the checkpoint folder and read again.
 
     For rows that are read several times: compressed, and readers take only the columns they need. The table is removed
-    by ``release``, at the end of the ``temporary_tables`` around, or when the Python process ends.
+    by ``release``, at the end of the ``temporary_tables`` around, or when the Python process ends. The shuffles that made
+    it go as soon as it is written.
     """
     spark = df.sparkSession
     path = _own(spark)
-    df.write.parquet(path)
+    with _dropping_shuffles(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._locuslathe_table = path
     return out
 
 
+@contextmanager
+def _dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _own(spark: SparkSession) -> str:
     path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
     if not _TABLES:

@@ -264,11 +264,14 @@ def test_stream(spark, tmp_path):
         q = start_event_stream(spark, calls, str(tmp_path / "store"), str(tmp_path / "out"), str(tmp_path / "ck"), once=True)
         q.awaitTermination(120)
         assert q.exception() is None
-        return sorted((r.run_id, r.event_start, r.event_end, r.support_score) for r in spark.read.parquet(str(tmp_path / "out")).withColumn("run_id", F.col("run_id").cast("string")).collect())
+        return sorted(((r.run_id, r.event_start, r.event_end, r.support_score) for r in spark.read.parquet(str(tmp_path / "out")).withColumn("run_id", F.col("run_id").cast("string")).collect()), key=repr)
 
     one = add("a.json", [(1, "r", 1, "asm", "c", "100", "200", "DEL"), (2, "q", 1, "asm", "c", "1", "5", "DEL"), (3, "q", 2, "asm", None, "1", "5", "DEL")])
     assert one == [("q", 1, 5, 1), ("r", 100, 200, 1)]
     assert add("b.json", [(4, "r", 2, "short", "c", "100", "190", "DEL")]) == [("q", 1, 5, 1), ("r", 100, 190, 2)]
+    assert add("c.json", [(5, "q", 3, "asm", None, "1", "5", "DEL")]) == [("q", 1, 5, 1), ("r", 100, 190, 2)]  # nothing good
+    odd = add("d.json", [(6, "7:x=%", 1, "asm", "c", "1", "5", "DEL"), (7, None, 1, "asm", "c", "1", "9", "DEL")])
+    assert ("7:x=%", 1, 5, 1) in odd and (None, 1, 9, 1) in odd
 
 
 def test_command_line(spark, tmp_path):
