@@ -51,7 +51,7 @@ class Dependency:
     dependent: tuple[str, str]
 
 
-#: The first bundle identifies the survivor; its weight exceeds all others together, so no other bundle can outvote it.
+#: The first bundle identifies the survivor. No dependency mentions it, so it always is the most trusted record's.
 CALL_BUNDLES = (
     Bundle("identity", ("record_id", "load_seq", "sample_id"), 100.0),
     Bundle("evidence", ("supporting_reads", "score", "supporting_methods"), 4.0),
@@ -84,7 +84,21 @@ def choose_bundles(
     the one with the earlier candidates wins. Taking one candidate for all bundles need not be legal, but candidate 0
     throughout is, so there always is a solution.
     """
-    n_bundles, n = len(trust), len(trust[0])
+    # a bundle that no dependency mentions is free to be its best; the search is over the others, few by their nature
+    order = [sorted(range(len(t)), key=lambda i, t=t: (-t[i], i)) for t in trust]
+    bound = sorted({b for db, _, pb, _ in dependencies for b in (db, pb)})
+    free = [o[0] for o in order]
+    if not bound:
+        return free
+    at = {b: i for i, b in enumerate(bound)}
+    own = [(at[db], dc, at[pb], pc) for db, dc, pb, pc in dependencies]
+    for b, i in zip(bound, _search([trust[b] for b in bound], [order[b] for b in bound], [weights[b] for b in bound], signatures, own), strict=True):
+        free[b] = i
+    return free
+
+
+def _search(trust, order, weights, signatures, dependencies) -> list[int]:
+    n_bundles = len(trust)
     legal = []
     for db, dc, pb, pc in dependencies:
         pairs: dict[object, object] = {}
@@ -92,7 +106,6 @@ def choose_bundles(
             if s[dc] is not None and s[pc] is not None:
                 pairs.setdefault(s[dc], s[pc])
         legal.append((db, dc, pb, pc, pairs))
-    order = [sorted(range(n), key=lambda i, t=t: (-t[i], i)) for t in trust]
     tail = [0.0] * (n_bundles + 1)
     for b in range(n_bundles - 1, -1, -1):
         tail[b] = tail[b + 1] + weights[b] * trust[b][order[b][0]]
