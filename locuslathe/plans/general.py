@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locuslathe.functions.clean import bare_chrom
@@ -34,10 +34,8 @@ def p1_key_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 def p1_found(spark: SparkSession, sf: str, percent: int = 3) -> DataFrame:
     """The pairs that hold at least ``percent`` of all records; records without chromosome count among all."""
-    d = p1_key_stats(spark, sf)
-    # the window runs over one row per key, which aggregate_dense has already reduced
-    total = F.sum("n_calls").over(Window.partitionBy())
-    d = d.withColumn("total", total).where(F.col("n_calls") * 100 >= F.col("total") * percent)
+    total = _table(spark, sf, "sv_records").agg(F.count(F.lit(1)).alias("total")).scalar()  # from the files' footers
+    d = p1_key_stats(spark, sf).where(F.col("n_calls") * 100 >= total * percent)
     return d.where("chrom is not null").select("chrom", "std_type")
 
 
