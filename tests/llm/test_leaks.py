@@ -104,6 +104,43 @@ def test_pieces_and_short_items(spark, limit):
     assert all((i, k) in want for i, k in rows if len(norm(items[k][2])) < (8 if items[k][1] == "zh" else 20))
 
 
+@pytest.mark.parametrize("size", [20, 24, 30, 36, 44, 60])
+def test_recall_of_shuffled_pieces(spark, size):
+    """Items cut into pieces in any order are found whatever the pieces' length: recall 1, and nothing else comes out."""
+    rng = random.Random(size)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    items, docs = [], []
+    for k in range(200):
+        parts = [word(size) for _ in range(6)]
+        items.append((k, "en", "".join(parts), "", ""))
+        rng.shuffle(parts)
+        docs.append((k, word(300) + "".join(word(9) + p for p in parts) + word(200), "", 1, ""))
+    d, e = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    assert sorted((r.doc_id, r.item_id) for r in leaked_items(d, e).collect()) == [(k, k) for k in range(200)]
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 0])
+def test_hot_template(spark, limit):
+    """A stretch that all items and documents share, too short for a leak, makes every pair a candidate and none a row."""
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    template = word(30)
+    n, m = (1000, 10_000) if limit else (100, 500)
+    items = [(k, "en", word(50) + template + word(50), "", "") for k in range(n)]
+    docs = [(k, word(60) + template + word(60) + (items[k][2] if k % 1000 == 0 and k < n else ""), "", 1, "") for k in range(m)]
+    d, e = spark.createDataFrame(docs, DOCS).repartition(8), spark.createDataFrame(items, ITEMS)
+    assert [(r.doc_id, r.item_id) for r in leaked_items(d, e, filter_seeds=limit).collect()] == [(0, 0)]
+    assert [tuple(r) for r in shared_runs(d, e, filter_seeds=limit).collect()] == [(0, 0)]
+
+
+def test_copies_of_an_item(spark):
+    text = "".join(random.Random(3).choice("abcdefgh") for _ in range(90))
+    items = [(k, "en", text, "", "") for k in range(300)] + [(900, "fr", text, "", ""), (901, "zh", text, "", "")]
+    docs = [(k, f"x {text.upper()} y", "", 1, "") for k in range(40)]
+    d, e = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    assert shared_runs(d, e).count() == leaked_items(d, e).count() == 40 * 302
+
+
 def test_whole_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     items = spark.read.parquet("/root/testdata/sf0.01/eval_items.parquet")
