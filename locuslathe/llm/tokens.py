@@ -15,6 +15,7 @@ token's place is kept on request: byte offsets from which the text can be decode
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import sys
@@ -22,9 +23,11 @@ import unicodedata
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -199,11 +202,10 @@ def boundaries(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class ByteBPE:
-    """Pair merging over the bytes of a slice, by a vocabulary file with ``vocab`` and ``merges``."""
+    """Pair merging over the bytes of a slice, by a vocabulary with ``vocab`` and ``merges``, a file's path or its bytes."""
 
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+    def __init__(self, source: str | bytes):
+        model = json.loads(source if isinstance(source, bytes) else Path(source).read_bytes())["model"]
         vocab: dict[str, int] = model["vocab"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.pairs = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(merges)}
@@ -292,9 +294,21 @@ class ByteBPE:
         return b"".join(self.bytes_of[i] for i in ids).decode("utf-8", "replace")
 
 
-@lru_cache(4)
-def _tokenizer(path: str) -> ByteBPE:
-    return ByteBPE(path)
+#: The tokenizer that this worker used last, by its vocabulary's digest.
+_AT_HAND: dict[str, ByteBPE] = {}
+
+
+def _tokenizer(digest: str, sent: Broadcast) -> ByteBPE:
+    if digest not in _AT_HAND:
+        _AT_HAND.clear()
+        _AT_HAND[digest] = ByteBPE(sent.value)
+    return _AT_HAND[digest]
+
+
+def _send(df: DataFrame, vocabulary: str) -> tuple[str, Broadcast]:
+    """A vocabulary's digest, and its bytes at every worker: a few megabytes, whatever the corpus."""
+    data = Path(vocabulary).read_bytes()
+    return hashlib.sha256(data).hexdigest(), df.sparkSession.sparkContext.broadcast(data)
 
 
 def _chunks(texts: list[str]) -> Iterator[list[str]]:
@@ -316,14 +330,16 @@ def encode_corpus(
 
     Null and empty texts have an empty list. White space is encoded as it stands, and strings that look like special
     tokens are ordinary text. ``byte_starts`` are the tokens' first bytes in the UTF-8 text. Repeated rows come out
-    each; other columns are not read. ``vocabulary`` must be readable at the same path by every worker.
+    each; other columns are not read. ``vocabulary`` is read by the driver and sent to the workers.
     """
     schema = T.StructType([T.StructField("_id", df.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     if offsets:
         schema.add("byte_starts", T.ArrayType(T.IntegerType()))
 
+    digest, sent = _send(df, vocabulary)
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _tokenizer(vocabulary)
+        tok = _tokenizer(digest, sent)
         for batch in batches:
             at = 0
             texts = [t or "" for t in batch.column(1).to_pylist()]
@@ -352,8 +368,10 @@ def decode_corpus(df: DataFrame, ids_col: str = "ids", out_col: str = "text", vo
     name = free_name(df, "_decoded")
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.StringType())])
 
+    digest, sent = _send(df, vocabulary)
+
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _tokenizer(vocabulary)
+        tok = _tokenizer(digest, sent)
         for batch in batches:
             texts = [None if v is None else tok.decode(v) for v in batch.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
