@@ -16,7 +16,7 @@ from locuslathe.functions.convert import is_missing, to_int
 from locuslathe.operators import calls as C
 from locuslathe.operators import events as E
 from locuslathe.operators import interval_join as J
-from locuslathe.session import build_session, cut_lineage
+from locuslathe.session import build_session, cut_lineage, temporary_tables
 from locuslathe.sinks.files import write_audit, write_event_tables
 from locuslathe.sources.tables import read_calls, read_support
 
@@ -46,16 +46,20 @@ def support_rows(spark: SparkSession, glob: str) -> DataFrame:
 
 
 def merge_tables(spark: SparkSession, paths: dict[str, str | None], out: str, support: str | None = None, tol: int = 10, cross_type_tol: int = 0) -> DataFrame:
-    """Writes the event tables and the audit of rejected and modified rows below ``out``; returns the events."""
+    """Writes the event tables and the audit of rejected and modified rows below ``out``; returns the events.
+
+    Tables made on the way are removed, the events are checkpointed.
+    """
     cleaned = cut_lineage(load_sources(spark, paths))
     audited = (F.col("reject_reason").isNotNull()) | (F.size("modifications") > 0)
     write_audit(cleaned.where(audited), f"{out}/audit")
     calls = C.good_calls(cleaned)
     if support:
         calls = J.resolve_support(calls, support_rows(spark, support), ("chrom", "std_type"), "record_id", "start1", tol)
-    events = E.linked_lists(E.merge_events(calls, (), tol), (), cross_type_tol)
-    events = events.withColumn("percentage_overlap", format_percents(F.col("step_percentages"))).drop("links", "step_percentages")
-    events = cut_lineage(events)
+    with temporary_tables():
+        events = E.linked_lists(E.merge_events(calls, (), tol), (), cross_type_tol)
+        events = events.withColumn("percentage_overlap", format_percents(F.col("step_percentages"))).drop("links", "step_percentages")
+        events = cut_lineage(events)
     write_event_tables(events, out)
     return events
 

@@ -67,7 +67,10 @@ def _levels(d: DataFrame, other: DataFrame, keys: tuple[str, ...], side: str, ot
     there = other.groupBy(*keys).agg(F.collect_set(f"_own_{other_side}").alias("_there"))
     there = there.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_there")
     on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    d = d.join(there, on).drop(*(f"_k{i}" for i in range(len(keys)))) if keys else d.crossJoin(F.broadcast(there))
+    if keys:
+        d = d.join(there, on).drop(*(f"_k{i}" for i in range(len(keys))))
+    else:  # one list for all
+        d = d.withColumn("_there", there.scalar())
     own = F.col(f"_own_{side}")
     use = F.array_distinct(
         F.concat(F.filter("_there", lambda x: x > own), F.when(F.array_min("_there") <= own, F.array(own)).otherwise(F.array().cast("array<int>")))

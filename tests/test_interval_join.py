@@ -25,6 +25,10 @@ def test_overlap_join_against_pairs(spark):
         got = sorted((r.i, r.j) for r in J.overlap_join(left, right, ("k",), ("s", "e"), ("s2", "e2"), tol).collect())
         want = sorted((i, j) for k, i, s, e in a for k2, j, s2, e2 in b if s is not None and s <= e and k == k2 and s2 <= e + tol and s <= e2 + tol)
         assert got == want
+    bare = [(i, s, e) for _, i, s, e in a if s is not None and s <= e]
+    got = sorted((r.i, r.j) for r in J.overlap_join(left.drop("k"), right.drop("k"), (), ("s", "e"), ("s2", "e2")).collect())
+    assert got == sorted((i, j) for i, s, e in bare for _, j, s2, e2 in b if s2 <= e and s <= e2)
+    assert J.overlap_join(left.drop("k"), right.drop("k").where("false"), (), ("s", "e"), ("s2", "e2")).count() == 0
     assert J.overlap_join(left.where("false"), right, ("k",), ("s", "e"), ("s2", "e2")).count() == 0
 
 
