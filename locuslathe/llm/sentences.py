@@ -95,6 +95,8 @@ OPENING = (
     _never(r"(?:\(?\d{1,3}|\p{Lu})[.)]", r"\s"),
     _never(r"(?:\d{1,3}[.)]\s{0,4})?\p{Lu}\.", r"\s*\p{Lu}"),
 )
+#: Characters up to which a stretch's words are simply counted.
+SHORT = 4096
 #: Function words in a sentence that tell its language without its line.
 ENOUGH_WORDS = 4
 #: The most characters that an opening can have.
@@ -282,7 +284,7 @@ class _Tables:
         self.thai = _alternation(THAI)[0]
         self.opened = regex.compile(r"(?:\d+[.)]\s*)?(?=[“\"«「『‘])")
         self.caseless = regex.compile(r"\s*" + _CASELESS)
-        self.greek = regex.compile(r"\p{Greek}", regex.REVERSE)
+        self.greek = regex.compile(r"\p{Greek}")
         self.token = regex.compile(r"[\p{L}\p{M}\p{N}.]*\.", regex.REVERSE)
         self.words: dict[str, dict[str, regex.Pattern]] = {}
         for lang, reaches in ABBREVIATIONS.items():
@@ -322,6 +324,8 @@ class _Line:
         self.pairs: list[tuple[list[int], list[int]]] = []
         self.straight: list[int] = []
         self.counts: dict[str, int] | None = None
+        self.places: dict[str, list[int]] | None = None
+        self.greek: list[int] | None = None
         if self.t.any_pair.search(text):
             self._pair()
 
@@ -378,7 +382,7 @@ class _Line:
         """Those of ``some`` for which the sentence from ``start`` to ``to``, the line and the column speak most."""
         if len(some) == 1:
             return set(some)
-        own = self._count(start, to)
+        own = self._count(start, to) if to - start <= SHORT else self._count_far(start, to)
         score = {x: own.get(x, 0) for x in some}
         if (most := max(score.values())) >= ENOUGH_WORDS:
             return {x for x in some if 2 * score[x] >= most}
@@ -399,6 +403,21 @@ class _Line:
                     out[lang] = out.get(lang, 0) + 1
         return out
 
+    def _count_far(self, start: int, to: int) -> dict[str, int]:
+        """The same from the places of the line's words, found once: a long sentence isn't counted at each of its places."""
+        if self.places is None:
+            self.places = {}
+            for m in self.t.word.finditer(self.text):
+                for lang in self.t.function_words.get(m.group().lower(), ()):
+                    self.places.setdefault(lang, []).append(m.start())
+        return {x: bisect_left(p, to) - bisect_left(p, start) for x, p in self.places.items()}
+
+    def has_greek(self, start: int, at: int) -> bool:
+        if self.greek is None:
+            self.greek = [] if self.text.isascii() else [m.start() for m in self.t.greek.finditer(self.text)]
+        k = bisect_left(self.greek, start)
+        return k < len(self.greek) and self.greek[k] < at
+
     def shortened(self, start: int, at: int, to: int) -> bool:
         """Whether the full stop at ``at`` belongs to an abbreviation of the passage's language or to a rule of it."""
         text, t = self.text, self.t
@@ -445,7 +464,7 @@ def _line_spans(text: str, lang: str | None) -> Iterator[tuple[int, int]]:
         if pattern and (m := pattern.match(text, at)):
             return verdicts[m.lastindex - 1]
         if mark in SEMICOLONS:
-            return t.greek.search(text, start, at) is not None and GREEK_QUESTION.match(text, at) is not None
+            return line.has_greek(start, at) and GREEK_QUESTION.match(text, at) is not None
         if mark == "." and not tail:
             ahead = bisect_left(ends, at + 40)
             return not line.shortened(start, at, ends[ahead] if ahead < n else size)

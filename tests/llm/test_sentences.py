@@ -1,6 +1,7 @@
 """Sentence boundaries: one case per rule group, then invariants over random and real texts."""
 
 import random
+import time
 
 import pytest
 
@@ -95,6 +96,15 @@ def test_empty_and_long():
     assert len(spans) >= 20_000 and spans[0] == (0, 9) and spans[-1][1] == len(long)
 
 
+@pytest.mark.parametrize(
+    "bit", ["see Fig. 3, ", "a;b; ", "x.y.Zq ", "A. B. ", "(“ ", "“a. ", "Ab.Cd.", "!»\" ", "α; β ", "1.", "e.g. the ", "«a.» b ", "ก ข. ", "[a. ", "Dr. "]
+)
+def test_long_lines_take_linear_time(bit):
+    began = time.perf_counter()
+    check(bit * (1_000_000 // len(bit)))
+    assert time.perf_counter() - began < 30
+
+
 def check(text):
     spans = sentence_spans(text)
     at = 0
