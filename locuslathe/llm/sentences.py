@@ -297,7 +297,7 @@ class _Tables:
         for lang, words in FUNCTION_WORDS.items():
             for w in words.split():
                 self.function_words[w] = (*self.function_words.get(w, ()), lang)
-        self.word = regex.compile(r"\p{L}+(?![\p{L}.])")
+        self.word = regex.compile(r"\S+")
         self.pairs = {sign: regex.compile(f"({a})|({b})") for sign, (a, b) in PAIRS.items()}
         self.any_pair = regex.compile("[" + regex.escape("".join(PAIRS)) + '"]')
 
@@ -326,6 +326,7 @@ class _Line:
         self.counts: dict[str, int] | None = None
         self.places: dict[str, list[int]] | None = None
         self.greek: list[int] | None = None
+        self.known: tuple | None = None
         if self.t.any_pair.search(text):
             self._pair()
 
@@ -382,6 +383,12 @@ class _Line:
         """Those of ``some`` for which the sentence from ``start`` to ``to``, the line and the column speak most."""
         if len(some) == 1:
             return set(some)
+        if self.known and self.known[0] == (start, some):  # the sentence has had an abbreviation before
+            return self.known[1]
+        self.known = (start, some), self._languages(start, to, some)
+        return self.known[1]
+
+    def _languages(self, start: int, to: int, some: tuple[str, ...]) -> set[str]:
         own = self._count(start, to) if to - start <= SHORT else self._count_far(start, to)
         score = {x: own.get(x, 0) for x in some}
         if (most := max(score.values())) >= ENOUGH_WORDS:
@@ -397,7 +404,7 @@ class _Line:
     def _count(self, start: int, to: int) -> dict[str, int]:
         out: dict[str, int] = {}
         known = self.t.function_words
-        for w in self.t.word.findall(self.text[start:to].lower()):
+        for w in self.text[start:to].lower().split():  # words without marks at them, and so no abbreviations
             if w in known:
                 for lang in known[w]:
                     out[lang] = out.get(lang, 0) + 1
@@ -423,8 +430,10 @@ class _Line:
         text, t = self.text, self.t
         token = t.token.match(text, start, at).group()[:-1]
         reaches = t.words.get(token) or t.words.get(token[token.rfind(".") + 1 :]) if token else None
-        if not (reaches and any(r.match(text, at) for r in set(reaches.values()))) and not t.some_own.match(text, at):
-            return False
+        if not (reaches and any(r.match(text, at) for r in set(reaches.values()))):
+            # the languages' own rules are about a figure or a capital before the full stop
+            if text[at - 2] in _LOWER or not t.some_own.match(text, at):
+                return False
         script = next((s for s, some in SCRIPT_LANGUAGES.items() if any(x in some for x in reaches)), "Latin") if reaches else (
             "Cyrillic" if token and "Ѐ" <= token[0] <= "ӿ" else "Latin"
         )
@@ -434,15 +443,31 @@ class _Line:
         return any(x in t.own and t.own[x].match(text, at) for x in langs)
 
 
+_LOWER = frozenset("abcdefghijklmnopqrstuvwxyz")
+#: Signs that never begin a sentence right behind a mark: the first rule of the cascade, looked up before a place is made.
+_GLUED = frozenset(chr(c) for c in range(0x21, 0x7F)) - frozenset('ABCDEFGHIJKLMNOPQRSTUVWXYZ"(')
+
+
+def _places(text: str, thai: bool) -> list[tuple[int, str, bool, int]]:
+    """(end, last mark, whether quotes or brackets follow it, begin) of the places that may end a sentence."""
+    t, out = _tables(), []
+    for m in t.place.finditer(text):
+        s, at = m.span(2)
+        mark = text[s - 1]
+        if text[at : at + 1] not in _GLUED or mark not in LATIN_MARKS:
+            out.append((at, mark, at > s, m.start()))
+    if thai:
+        out += [(m.start(), "", False, m.start()) for m in t.thai_place.finditer(text)]
+        out.sort(key=lambda p: p[0])
+    return out
+
+
 def _line_spans(text: str, lang: str | None) -> Iterator[tuple[int, int]]:
     t = _tables()
     if t.no_prose.match(text):
         yield 0, len(text)
         return
-    places = [(m.end(), m.group(1)[-1], m.end(2) > m.start(2)) for m in t.place.finditer(text)]
-    if not text.isascii() and t.thai_letter.search(text):
-        places += [(m.start(), "", False) for m in t.thai_place.finditer(text)]
-        places.sort(key=lambda p: p[0])
+    places = _places(text, not text.isascii() and t.thai_letter.search(text) is not None)
     if not places:
         yield 0, len(text)
         return
@@ -451,7 +476,7 @@ def _line_spans(text: str, lang: str | None) -> Iterator[tuple[int, int]]:
 
     def decide(k: int, start: int, head: int) -> bool:
         """The cascade at a place that no quotation or bracket encloses."""
-        at, mark, tail = places[k]
+        at, mark, tail, _ = places[k]
         if not mark:
             return t.thai.match(text, at) is not None
         if at - head <= OPENING_CHARS:
@@ -485,7 +510,7 @@ def _line_spans(text: str, lang: str | None) -> Iterator[tuple[int, int]]:
                 continue
             if closing not in alone:
                 last = bisect_left(ends, closing + 1)
-                alone[closing] = last < n and places[last][2] and not line.around(start, ends[last]) and decide(last, start, head)
+                alone[closing] = last < n and places[last][2] and places[last][3] <= closing and not line.around(start, ends[last]) and decide(last, start, head)
             if not alone[closing]:
                 continue
         if decide(k, start, head):

@@ -5,6 +5,7 @@ import time
 
 import pytest
 
+from locuslathe.llm import sentences
 from locuslathe.llm.sentences import sentence_spans, split_sentences
 
 #: Sentences separated by |, which is taken out before splitting.
@@ -83,6 +84,16 @@ def test_pairs_of_any_length(ends, size):
     assert [text[a:b] for a, b in sentence_spans(text)] == [text[: -len(" Then all.")], "Then all."]
 
 
+def test_signs_right_behind_a_mark(monkeypatch):
+    """Looking a sign up before a place is made gives what the rule gives."""
+    rng = random.Random(5)
+    bits = ["ab", "Ab", "A", "b", "1", ".", ". ", "!", ",", "-", " ", "Dr", "et al", "กข", "한", "द", "...", "“", "”", "(", ")", "é", '"', "»", "。", "x.Y"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(1, 14))) for _ in range(8000)]
+    got = [sentence_spans(t) for t in texts]
+    monkeypatch.setattr(sentences, "_GLUED", frozenset())
+    assert got == [sentence_spans(t) for t in texts]
+
+
 def test_no_window_over_the_sentence_so_far():
     before = "word " * 2000
     text = f"He (the {before}one) said “{before}. It was. " + before + "” to them. Next."
