@@ -96,6 +96,13 @@ def copy_files(spark: SparkSession, jobs: list[tuple[str, str, str, str]]) -> in
     return d.mapInArrow(run, "bytes long").agg(F.sum("bytes")).head()[0]
 
 
+def publish(spark: SparkSession, files: dict[str, list[str]], out_dir: str) -> list[str]:
+    """Copies of each step's outputs below ``out_dir``, in a folder by the step's name; their paths, in the given order."""
+    jobs = [(f, f"{out_dir}/{step}/{Path(f).name}", "NONE", "NONE") for step, own in files.items() for f in own]
+    copy_files(spark, jobs)
+    return [target for _, target, *_ in jobs]
+
+
 def _copy(source: str, target: str, have: str, want: str) -> int:
     system, path = _place(source)
     size = 0

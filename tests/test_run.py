@@ -137,6 +137,8 @@ def test_copies_are_lossless(spark, tmp_path, have):
         got = (tmp_path / "o" / want).read_bytes()
         assert unpack(got) == data and (want != have or got == packed[have])
     assert K.copy_files(spark, []) == 0
+    there = K.publish(spark, {"mapping": [str(source)], "calls": []}, str(tmp_path / "p"))
+    assert there == [str(tmp_path / "p" / "mapping" / source.name)] and (tmp_path / "p" / "mapping" / source.name).read_bytes() == packed[have]
 
 
 def test_parents_fit_their_children(spark):
