@@ -312,13 +312,17 @@ class ReadValidator(BaseValidator):
         return self._copied(self.target(folder, base), self.settings.coding_type)
 
     def write_minimal(self, out: Path) -> dict[str, Any]:
+        own = self._named()
         if self.file.fmt != "BAM":
-            pair = self._pair()
-            return self._copied(self.target(out, f"{pair['base_name']}_R{pair['read_number']}"), self.file.coding)
+            return own | self._copied(self.target(out, f"{own['base_name']}_R{own['read_number']}"), self.file.coding)
         name, suffix = self.file.path.name, self.settings.output_filename_suffix
         if suffix:
             name = f"{self.base}_{suffix}{''.join(self.file.path.suffixes)}"
-        return self._copied(self.folder(out) / name, self.file.coding)
+        return own | self._copied(self.folder(out) / name, self.file.coding)
+
+    def _named(self) -> dict[str, Any]:
+        """What is known of the file without reading it."""
+        return self._pair() | {"ngs_type": self.file.ngs_type, "input_format": self.file.fmt}
 
     def _pair(self) -> dict[str, Any]:
         """The name and the number of the mate that the file's name tells; only pairs of one platform are named so."""
@@ -329,7 +333,7 @@ class ReadValidator(BaseValidator):
         return {"base_name": p["base_name"], "read_number": p["read_number"], "illumina_pairing_detected": True}
 
     def describe(self, rows: DataFrame) -> dict[str, Any]:
-        own = self._pair() | {"ngs_type": self.file.ngs_type, "input_format": self.file.fmt}
+        own = self._named()
         if self.file.fmt == "BAM":
             return own | {"num_reads": None}
         stats = R.read_stats(self._checked(rows)).head().asDict()

@@ -90,6 +90,21 @@ def test_failing_runs(spark, folder):
     assert main(["--config_json", str(folder / "c.json"), "--out_dir", str(folder / "o")]) == 1
 
 
+def test_minimal_run(spark, folder):
+    c = json.loads((folder / "c.json").read_text())
+    c["options"]["validation_level"] = "minimal"
+    (folder / "reads" / "s_R1_001.fastq").unlink()
+    with gzip.open(folder / "reads" / "s_R1_001.fastq.gz", "wb") as f:
+        f.write(b"@r\nACG\n+\nIII\n")
+    (folder / "c.json").write_text(json.dumps(c))
+    c["reads"][1]["validation_level"] = "trust"
+    (folder / "c.json").write_text(json.dumps(c))
+    p = validate_run(spark, RunOptions(str(folder / "c.json"), str(folder / "o")))
+    assert p["fatal_errors"] == [] and p["run_illumina"] and p["run_nanopore"] and not p["run_ref_x_mod"]
+    assert [x.rsplit("/", 1)[1] for x in p["illumina_fastq_files"]] == ["s_R1.fastq.gz", "s_R2.fastq.gz"]
+    assert (folder / "o" / "mod_mod.fasta").read_bytes() == (folder / "mod.fa").read_bytes()
+
+
 def test_defragmented_reference(spark, folder):
     c = json.loads((folder / "c.json").read_text())
     c["options"]["force_defragment_ref"] = True
