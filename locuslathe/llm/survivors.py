@@ -13,7 +13,8 @@ neither gathers in a task nor slows one.
 
 Records that have no duplicate are most of a table. Counting 64-bit hashes of the keys finds the groups that have more
 than one record (a collision only lets a few records through, which the exact grouping then drops), and only records of
-those groups are aggregated. The hashes are broadcast up to a measured number, beyond it they are joined by a shuffle.
+those groups are aggregated. The hashes are broadcast up to a measured number, beyond it only those of large groups, and
+the others are joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from locuslathe.session import cut_lineage
 
 #: Most key hashes (8 bytes each) that are broadcast.
 BROADCAST_HASHES = 4_000_000
+#: Beyond that, groups of more rows than this have their hashes broadcast; n rows have at most n / HEAVY such groups.
+HEAVY = 200_000
 
 
 @dataclass(frozen=True)
@@ -148,6 +151,15 @@ def _no_null(t: dict) -> tuple:
     return tuple((v is not None, v) if v is not None else (False, 0) for v in t.values())
 
 
+def _of_repeated(rows: DataFrame, repeated: DataFrame, heavy: int) -> DataFrame:
+    """The rows whose hash is repeated. Hashes of large groups, which are few, are broadcast; the groups' rows keep apart."""
+    hot = F.broadcast(repeated.where(F.col("count") > heavy).select(F.col("_h").alias("_hot")))
+    d = rows.join(hot, F.col("_h") == F.col("_hot"), "left")
+    d = d.withColumn("_k", F.when(F.col("_hot").isNull(), F.col("_h")).otherwise(F.xxhash64("_h", "_trust")))
+    d = d.join(repeated.select(F.col("_h").alias("_r")), F.col("_k") == F.col("_r"), "left")
+    return d.where("_hot is not null or _r is not null").drop("_hot", "_k", "_r")
+
+
 def survivors(
     df: DataFrame,
     group: dict[str, Column],
@@ -157,6 +169,7 @@ def survivors(
     record_trust: list[Column],
     recency: Column,
     broadcast_hashes: int = BROADCAST_HASHES,
+    heavy: int = HEAVY,
 ) -> DataFrame:
     """One row per group of two or more records: the group columns, ``n_records``, then every bundle's columns.
 
@@ -170,8 +183,7 @@ def survivors(
     keys = [f"_g{i}" for i in range(len(group))]
     sig = [f"_s{i}" for i in range(len(signature))]
     key_hash = F.xxhash64(*group.values()).alias("_h")
-    repeated = cut_lineage(df.select(key_hash).groupBy("_h").count().where("count > 1").select("_h"))
-    hashes = F.broadcast(repeated) if repeated.count() <= broadcast_hashes else repeated
+    repeated = cut_lineage(df.select(key_hash).groupBy("_h").count().where("count > 1"))
     rows = df.select(
         key_hash,
         *(c.alias(k) for k, c in zip(keys, group.values(), strict=True)),
@@ -179,7 +191,11 @@ def survivors(
         F.struct(*(c.alias(f"r{i}") for i, c in enumerate(record_trust))).alias("_trust"),
         recency.alias("_recent"),
         *(F.struct(*b.columns).alias(f"_b{i}") for i, b in enumerate(bundles)),
-    ).join(hashes, "_h", "left_semi")
+    )
+    if repeated.count() <= broadcast_hashes:
+        rows = rows.join(F.broadcast(repeated.select("_h")), "_h", "left_semi")
+    else:
+        rows = _of_repeated(rows, repeated, heavy)
 
     def version(i: int, b: Bundle) -> Column:
         filled = sum((F.col(f"_b{i}.{c}").isNotNull().cast("int") for c in b.columns), F.lit(0))

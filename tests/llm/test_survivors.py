@@ -4,6 +4,8 @@ import itertools
 import random
 from datetime import datetime
 
+import pytest
+
 from locuslathe.llm.survivors import call_survivors, choose_bundles
 
 
@@ -71,12 +73,13 @@ def test_representative_and_bundles(spark):
     assert call_survivors(empty).collect() == []
 
 
-def test_hashes_by_shuffle(spark, monkeypatch):
+@pytest.mark.parametrize("heavy", [200_000, 2, 1])
+def test_hashes_by_shuffle(spark, monkeypatch, heavy):
     from locuslathe.llm import survivors
 
-    rows = [row(1, reads=5), row(2, reads=6), row(3, run="q"), row(4, run=None), row(5, run=None, reads=1)]
+    rows = [row(1, reads=5), row(2, reads=6), row(3, run="q"), row(4, run=None), row(5, run=None, reads=1), row(6)]
     df = spark.createDataFrame(rows, SCHEMA)
-    monkeypatch.setattr(survivors.survivors, "__defaults__", (-1,))
+    monkeypatch.setattr(survivors.survivors, "__defaults__", (-1, heavy))
     assert sorted(r.record_id for r in call_survivors(df).collect()) == [2, 5]
 
 
