@@ -19,6 +19,7 @@ from locuslathe.operators import reads as R
 from locuslathe.operators import runs as RN
 from locuslathe.operators import sequences as S
 from locuslathe.operators.channels import join_channels, with_each
+from locuslathe.operators.trimming import trim_reads
 from locuslathe.plans import event_queries as EQ
 from locuslathe.plans import record_queries as Q
 from locuslathe.session import scratch_folder
@@ -329,6 +330,13 @@ def read_quality_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return A.quality_histogram(d).withColumn("quality", F.col("quality").cast("long"))
 
 
+def read_trimmed(spark: SparkSession, sf: str) -> DataFrame:
+    """Reads whose last bases, none to six of them, are bad, without these; short ones are left out."""
+    bad = F.expr("cast(read_idx % 7 as int)")
+    d = _reads(spark, sf).withColumn("qual", F.concat(F.expr("repeat('I', length(seq) - cast(read_idx % 7 as int))"), F.repeat(F.lit("#"), bad)))
+    return trim_reads(d, adapter="").select("id", F.md5("seq").alias("digest"), F.length("qual").cast("long").alias("length"))
+
+
 def callable_sites(spark: SparkSession, sf: str) -> DataFrame:
     """Places at which calls may be made: line items as pileup rows."""
     d = _table(spark, sf, "lineitem").select(
@@ -351,7 +359,7 @@ QUERIES = {
         src_calls, src_support, src_trace, src_fasta, src_fasta_gzip, src_genbank, src_fastq, src_fastq_trust, snk_contigs, src_gff,
         src_gff_parents, src_gtf, src_bed, src_paf, src_sam, src_sam_counts, src_vcf_assembly, src_vcf_short, src_vcf_long,
         src_vcf_support, src_vcf_concat, src_variant_stats, snk_event_tables, snk_partitioned, snk_audit, file_outputs, channel_pairs,
-        read_quality_histogram, callable_sites, sample_pairs,
+        read_quality_histogram, read_trimmed, callable_sites, sample_pairs,
     )
 }
 
@@ -441,6 +449,8 @@ SQL = {
         SELECT support_id, base_name || '_R' || read_number || '_v.fastq' || x AS file_name FROM pr, (VALUES (''), ('.gz')) t(x)""",
     "channel_pairs": "SELECT run_id, support_id, run_stamp FROM caller_support JOIN sv_runs USING (run_id)",
     "read_quality_histogram": f"WITH {_READS} SELECT read_idx % 40 AS quality, CAST(sum(length(seq)) AS BIGINT) AS n FROM rd GROUP BY 1",
+    "read_trimmed": f"""WITH {_READS}, k AS (SELECT id, seq[1:length(seq) - read_idx % 7] AS s FROM rd)
+        SELECT id, md5(s) AS digest, CAST(length(s) AS BIGINT) AS length FROM k WHERE length(s) >= 20""",
     "callable_sites": """
         SELECT l_orderkey, l_linenumber FROM lineitem WHERE CAST(l_quantity AS BIGINT) >= 10 AND l_partkey % 41 >= 20 AND l_suppkey % 61 >= 30 AND l_linenumber >= 3""",
     "sample_pairs": """
