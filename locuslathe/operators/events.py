@@ -65,10 +65,10 @@ def _chain_rank(s: str) -> Column:
     return F.when(F.col(s).isNotNull(), F.struct(rank.alias("rank"), F.col(s)["rec"].alias("rec")))
 
 
-def _of_best(s: str) -> tuple[Column, Column, Column]:
+def _of_best(s: str) -> dict[str, Column]:
     """|svlen|, start and end of a source's best record, as its rank tells them."""
     r = F.col(s)["rank"]
-    return F.when(r["len"] != 1, -r["len"]), -r["s"], -r["e"]
+    return {"svlen": F.when(r["len"] != 1, -r["len"]), "start1": -r["s"], "end1": -r["e"]}
 
 
 _HERE = ("start1", "end1")
@@ -295,12 +295,14 @@ def _source_columns(s: str, r: Column) -> list[Column]:
     return out
 
 
-def _located(clustered: DataFrame) -> DataFrame:
-    """Chains with the coordinates and the length of their events and the number of sources that support them."""
-    fields = {f"_{n}_{s}": c for s in SOURCES for n, c in zip(("svlen", "start1", "end1"), _of_best(s), strict=True)}
+def _located(clustered: DataFrame, spans: dict[str, dict[str, Column]]) -> DataFrame:
+    """Chains with the coordinates and the length of their events and the number of sources that support them.
+
+    ``spans``: svlen, start1 and end1 of each source's best record.
+    """
+    fields = {f"_{n}_{s}": r[n] for s, r in spans.items() for n in ("svlen", "start1", "end1")}
     d = clustered.withColumns(fields)
-    spans = {s: {n: F.col(f"_{n}_{s}") for n in ("svlen", "start1", "end1")} for s in SOURCES}
-    d = d.withColumn("_a", anchor(spans)).drop(*fields)
+    d = d.withColumn("_a", anchor({s: {n: F.col(f"_{n}_{s}") for n in ("svlen", "start1", "end1")} for s in spans})).drop(*fields)
     # without any length an insertion spans its cluster; other types always have one once cleaned
     lone = F.col("_a").isNull() & (F.col("std_type") != "INS")
     return d.withColumns(
@@ -318,7 +320,7 @@ _EVENT = ("event_start", "event_end", "event_length_bp", "support_score")
 
 def event_spans(clustered: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """The events of chains with their ids and coordinates, without their records' fields."""
-    d = number_events(_located(clustered), by)
+    d = number_events(_located(clustered, {s: _of_best(s) for s in SOURCES}), by)
     return d.select(*by, "event_id", "chrom", F.col("std_type").alias("std_svtype"), *_EVENT)
 
 
@@ -328,27 +330,28 @@ def event_table(clustered: DataFrame, calls: DataFrame, by: tuple[str, ...] = ()
     The best records' other fields come from ``calls`` by record_id; of rows that share one, one is taken whole. Then an
     event's records meet in its tile, where it is numbered, too.
     """
-    d, offsets, tile = _tiled(_located(clustered), by, tile_bits)
+    d, offsets, tile = _tiled(clustered, by, tile_bits)
     def pick(s: str) -> Column:
-        own = zip(_of_best(s), ("svlen", "start1", "end1"), strict=True)
         there = F.col(s).isNotNull()
         if s == SOURCES[0]:  # an event without a best record stays, by this row
-            there = there | (F.col("support_score") == 0)
-        return F.struct(F.lit(s).alias("_source"), F.col(f"{s}.rec.record_id").alias("_id"), F.col(f"{s}.rec.supporting_reads").alias("supporting_reads"), *(c.alias(n) for c, n in own), there.alias("_there"))
+            there = there | F.coalesce(*SOURCES).isNull()
+        own = _of_best(s).items()
+        return F.struct(F.lit(s).alias("_source"), F.col(f"{s}.rec.record_id").alias("_id"), F.col(f"{s}.rec.supporting_reads").alias("supporting_reads"), *(c.alias(n) for n, c in own), there.alias("_there"))
 
     picks = F.array(*(pick(s) for s in SOURCES))
     keys = [*tile, "cluster_start", "cluster_end"]
-    carried = [*_EVENT, *(["steps"] if "steps" in clustered.columns else [])]
+    carried = ["last_start", "first_end", *(["steps"] if "steps" in clustered.columns else [])]
     rows = d.select(*keys, *carried, F.inline(picks)).where("_there").drop("_there")
     # rows without a record keep apart in the shuffle
-    rows = rows.withColumn("_k", F.coalesce("_id", F.xxhash64(*keys)))
+    rows = rows.withColumn("_k", F.coalesce("_id", F.xxhash64(*keys))).drop("_id")
     fields = calls.select(F.col("record_id").alias("_record"), *_PAYLOAD)
-    rows = rows.join(fields, (F.col("_k") == F.col("_record")) & F.col("_id").isNotNull(), "left").drop("_k", "_id", "_record")
+    rows = rows.join(fields, (F.col("_k") == F.col("_record")) & F.col("start1").isNotNull(), "left").drop("_k", "_record")
     whole = F.struct("start1", "end1", "svlen", "supporting_reads", *_PAYLOAD)
     # the rows come in the order of these keys, so this neither shuffles nor sorts
     d = _numbered(rows, offsets, tile).groupBy(*keys).agg(
         *(F.first(c).alias(c) for c in ("event_id", *carried)), *(F.max(F.when((F.col("_source") == s) & F.col("start1").isNotNull(), whole)).alias(s) for s in SOURCES)
     )
+    d = _located(d, {s: {n: F.col(s)[n] for n in ("svlen", "start1", "end1")} for s in SOURCES})
     return d.select(
         *by,
         "event_id",
