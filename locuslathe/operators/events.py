@@ -336,11 +336,14 @@ def event_table(clustered: DataFrame, calls: DataFrame, by: tuple[str, ...] = ()
         if s == SOURCES[0]:  # an event without a best record stays, by this row
             there = there | F.coalesce(*SOURCES).isNull()
         own = _of_best(s).items()
-        return F.struct(F.lit(s).alias("_source"), F.col(f"{s}.rec.record_id").alias("_id"), F.col(f"{s}.rec.supporting_reads").alias("supporting_reads"), *(c.alias(n) for n, c in own), there.alias("_there"))
+        return F.struct(F.lit(SOURCES.index(s)).alias("_source"), F.col(f"{s}.rec.record_id").alias("_id"), F.col(f"{s}.rec.supporting_reads").alias("supporting_reads"), *(c.alias(n) for n, c in own), there.alias("_there"))
 
     picks = F.array(*(pick(s) for s in SOURCES))
     keys = [*tile, "cluster_start", "cluster_end"]
     carried = ["last_start", "first_end", *(["steps"] if "steps" in clustered.columns else [])]
+    # these two are for events without any length only
+    none = F.coalesce(*(_of_best(s)["svlen"] for s in SOURCES)).isNull()
+    d = d.withColumns({c: F.when(none, F.col(c)) for c in ("last_start", "first_end")})
     rows = d.select(*keys, *carried, F.inline(picks)).where("_there").drop("_there")
     # rows without a record keep apart in the shuffle
     rows = rows.withColumn("_k", F.coalesce("_id", F.xxhash64(*keys))).drop("_id")
@@ -349,7 +352,7 @@ def event_table(clustered: DataFrame, calls: DataFrame, by: tuple[str, ...] = ()
     whole = F.struct("start1", "end1", "svlen", "supporting_reads", *_PAYLOAD)
     # the rows come in the order of these keys, so this neither shuffles nor sorts
     d = _numbered(rows, offsets, tile).groupBy(*keys).agg(
-        *(F.first(c).alias(c) for c in ("event_id", *carried)), *(F.max(F.when((F.col("_source") == s) & F.col("start1").isNotNull(), whole)).alias(s) for s in SOURCES)
+        *(F.first(c).alias(c) for c in ("event_id", *carried)), *(F.max(F.when((F.col("_source") == i) & F.col("start1").isNotNull(), whole)).alias(s) for i, s in enumerate(SOURCES))
     )
     d = _located(d, {s: {n: F.col(s)[n] for n in ("svlen", "start1", "end1")} for s in SOURCES})
     return d.select(
