@@ -80,21 +80,20 @@ def _cell(*keys: str) -> Column:
 
 
 def _walk(intervals: DataFrame, by: tuple[str, ...], tol: int, tile_bits: int) -> DataFrame:
-    """``intervals`` with ``_tile``, ``_head`` and ``step_percent`` from the walk through each tile by itself.
+    """``intervals`` with ``_tile``, ``_part`` and ``step_percent`` from the walk through each tile by itself.
 
-    ``_head`` is null for the rows before the tile's first break, whose chain may come from a tile before.
+    ``_part`` counts the breaks so far; the rows of part 0 stand before the tile's first break, and their chain may come
+    from a tile before. ``_last`` marks a tile's last row.
     """
     g = [*by, "chrom", "std_type"]
     tile = Window.partitionBy("_cell", *g, "_tile").orderBy(*_HERE)
-    here = F.struct(F.col("start1").alias("s"), F.col("end1").alias("e"))
     d = intervals.withColumn("_tile", F.shiftright("start1", tile_bits))
     d = d.withColumn("_cell", _cell(*g, "_tile"))
-    d = d.withColumns({"_prev": F.lag(here).over(tile), "_last": F.lead(F.lit(True)).over(tile).isNull()})
-    p = (F.col("_prev.s"), F.col("_prev.e"), F.col("start1"), F.col("end1"))
-    d = d.withColumn("_joined", F.when(F.col("_prev").isNotNull(), near_overlap(*p, tol)))
-    d = d.withColumn("_own", F.when(~F.col("_joined"), here))
-    head = F.last("_own", ignorenulls=True).over(tile.rowsBetween(Window.unboundedPreceding, 0))
-    return d.withColumns({"_head": head, "step_percent": F.when(F.col("_joined"), overlap_percent(*p))}).drop("_prev", "_joined", "_own")
+    d = d.withColumns({"_ps": F.lag("start1").over(tile), "_pe": F.lag("end1").over(tile), "_last": F.lead("start1").over(tile).isNull()})
+    p = (F.col("_ps"), F.col("_pe"), F.col("start1"), F.col("end1"))
+    d = d.withColumn("_joined", F.when(F.col("_ps").isNotNull(), near_overlap(*p, tol)))
+    breaks = F.sum(F.when(~F.col("_joined"), F.lit(1)).otherwise(F.lit(0))).over(tile.rowsBetween(Window.unboundedPreceding, 0))
+    return d.withColumns({"_part": breaks, "step_percent": F.when(F.col("_joined"), overlap_percent(*p))}).drop("_ps", "_pe", "_joined")
 
 
 def _carried(tiles: DataFrame, by: tuple[str, ...], tol: int) -> DataFrame:
@@ -125,13 +124,15 @@ def chain_heads(intervals: DataFrame, by: tuple[str, ...], tol: int, tile_bits:
     g = [*by, "chrom", "std_type"]
     here = F.struct(F.col("start1").alias("s"), F.col("end1").alias("e"))
     d = _walk(intervals, by, tol, tile_bits)
+    own = Window.partitionBy("_cell", *g, "_tile", "_part")
+    d = d.withColumn("_head", F.when(F.col("_part") > 0, F.min(here).over(own)))
     tiles = d.groupBy(*g, "_tile").agg(F.min(here).alias("_first"), F.max(here).alias("_end"), F.max("_head").alias("_max_head"))
     d = _join_small(d, _carried(tiles, by, tol), [*g, "_tile"])
     tile = Window.partitionBy("_cell", *g, "_tile").orderBy(*_HERE)
     percent = F.when(F.row_number().over(tile) == 1, F.col("_open_percent")).otherwise(F.col("step_percent"))
     head = F.coalesce("_head", "_open_head")
     return d.withColumns({"head_start": head["s"], "head_end": head["e"], "step_percent": percent}).drop(
-        "_cell", "_tile", "_last", "_head", "_open_head", "_open_percent"
+        "_cell", "_tile", "_part", "_last", "_head", "_open_head", "_open_percent"
     )
 
 
@@ -156,7 +157,7 @@ def clusters(
     q = F.col("seq") if seq is None else seq
     d = _walk(distinct_intervals(calls, by, q), by, tol, tile_bits)
     listed = [F.collect_list(F.struct("start1", "end1", "step_percent", "n")).alias("steps")] if steps else []
-    parts = d.groupBy("_cell", *g, "_tile", "_head").agg(
+    parts = d.groupBy("_cell", *g, "_tile", "_part").agg(
         F.min("start1").alias("cluster_start"),
         F.max("end1").alias("cluster_end"),
         F.max("start1").alias("last_start"),
@@ -171,18 +172,18 @@ def clusters(
     )
     parts = write_through(parts)
     tiles = parts.groupBy("_cell", *g, "_tile").agg(
-        F.min("_first").alias("_first"), F.max("_end").alias("_end"), F.max("_head").alias("_max_head")
+        F.min("_first").alias("_first"), F.max("_end").alias("_end"), F.max(F.when(F.col("_part") > 0, F.col("_first"))).alias("_max_head")
     )
     carried = _carried(tiles, by, tol)
     # the first and the last chain of a tile may belong to those of others
-    edge = F.col("_head").isNull() | F.col("_last")
+    edge = (F.col("_part") == 0) | F.col("_last")
     made = ["cluster_start", "cluster_end", "last_start", "first_end", "n_members", "percent_total", *(["steps"] if steps else []), *SOURCES]
     inner = parts.where(~edge).select(*g, *made)
     outer = _join_small(parts.where(edge), carried, [*g, "_tile"])
-    own = F.col("_head").isNull()
+    own = F.col("_part") == 0
     outer = outer.withColumns(
         {
-            "_head": F.coalesce("_head", "_open_head"),
+            "_head": F.when(own, F.col("_open_head")).otherwise(F.col("_first")),
             "percent_total": F.col("percent_total") + F.when(own, F.coalesce("_open_percent", F.lit(0.0))).otherwise(F.lit(0.0)),
         }
     )
