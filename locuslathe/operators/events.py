@@ -258,7 +258,9 @@ def _numbered(rows: DataFrame, offsets: DataFrame, tile: list[str]) -> DataFrame
     """``rows``, one or several per event, with ``event_id``; a tile's offset comes as a row, so they are shuffled once."""
     both = rows.withColumn("_before", F.lit(None).cast("long")).unionByName(offsets, allowMissingColumns=True)
     w = Window.partitionBy(*tile).orderBy("cluster_start", "cluster_end")
-    number = F.first("_before").over(w) + F.dense_rank().over(w) - 1
+    # the same frame as the rank's, so that both are walked once
+    first = F.first("_before").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    number = first + F.dense_rank().over(w) - 1
     return both.withColumn("event_id", F.concat("std_type", F.lit("_"), number.cast("string"))).where("_before is null")
 
 
